@@ -113,3 +113,40 @@ def with_policies(sql: str, indexed: bool = True) -> str:
     """Prefix an oracle query with the ``policies`` CTE."""
     body = POLICIES_INDEXED_SQL if indexed else POLICIES_SQL
     return f"WITH policies AS ({body})\n{sql}"
+
+
+def cleaned(spark: SparkSession, sf_dir: str, features: bool = False) -> DataFrame:
+    """Raw policies after the cleaning step (keep-first dedup by start date
+    and object id within a batch), optionally with the derived features.
+
+    Within a dedup group the start date and object id are constant, so
+    "first by position" is "first by (tie1, tie2)": no global position needed.
+    """
+    from claimlens.functions.features import create_features
+    from claimlens.operators.dedup import dedup_first
+    raw = policies(spark, sf_dir, with_index=False)
+    out = dedup_first(raw, ["INSR_BEGIN", "OBJECT_ID"], ("tie1", "tie2"), ("batch_id",))
+    return create_features(out) if features else out
+
+
+CLEANED_SQL = """
+SELECT * EXCLUDE (_rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY batch_id, INSR_BEGIN, OBJECT_ID ORDER BY tie1, tie2) AS _rn
+  FROM policies) t WHERE _rn = 1
+"""
+
+FEATURES_SQL = """
+  CAST(coalesce(date_diff('day', INSR_BEGIN, INSR_END), 365) AS INTEGER) AS policy_duration_days,
+  PREMIUM / nullif(SEATS_NUM + 1e-6, 0) AS premium_per_seat,
+  INSURED_VALUE / nullif(CCM_TON + 1e-6, 0) AS insured_value_per_ton,
+  CASE WHEN CLAIM_PAID / nullif(PREMIUM + 1e-6, 0) IS NULL THEN NULL
+       ELSE least(10e0, greatest(0e0, CLAIM_PAID / nullif(PREMIUM + 1e-6, 0))) END AS claim_ratio,
+  coalesce(CAST(CLAIM_PAID > 0 AS INTEGER), 0) AS is_claim,
+  CASE WHEN PREMIUM + 1e-6 > 0 THEN ln(PREMIUM + 1e-6) END AS premium_log
+"""
+
+
+def with_cleaned(sql: str, features: bool = False) -> str:
+    """Prefix an oracle query with ``policies`` and ``cleaned`` CTEs."""
+    body = f"SELECT *, {FEATURES_SQL} FROM ({CLEANED_SQL}) c" if features else CLEANED_SQL
+    return f"WITH policies AS ({POLICIES_SQL}),\ncleaned AS ({body})\n{sql}"
