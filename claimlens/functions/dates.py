@@ -25,7 +25,7 @@ def _fix_two_digit_year(d: Column) -> Column:
 
 def parse_policy_date(col, fmt: str = "d-MMM-yy") -> Column:
     """Strict parse; bad or missing -> NULL (never an error)."""
-    d = F.try_to_date(_c(col), F.lit(fmt))
+    d = F.try_to_date(_c(col), fmt)
     if "yyyy" not in fmt and "yy" in fmt:
         d = _fix_two_digit_year(d)
     return d

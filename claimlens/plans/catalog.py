@@ -9,6 +9,7 @@ from claimlens.plans.registry import ORACLES, QUERIES
 _MODULES = (
     "claimlens.plans.quality_queries",
     "claimlens.plans.profile_queries",
+    "claimlens.plans.prep_queries",
 )
 
 
