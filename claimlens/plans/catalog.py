@@ -10,6 +10,7 @@ _MODULES = (
     "claimlens.plans.quality_queries",
     "claimlens.plans.profile_queries",
     "claimlens.plans.prep_queries",
+    "claimlens.plans.model_queries",
 )
 
 

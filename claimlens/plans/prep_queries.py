@@ -397,6 +397,17 @@ def e6_minmax(spark, sf_dir):
     return _prepared(spark, sf_dir).scalers.select("column", r6("min").alias("min"), r6("max").alias("max"))
 
 
+def _scaled_cte(kind, name):
+    if kind == "A":
+        expr = lambda c: (f"(CAST(e.{_q(c)} AS DOUBLE) - (SELECT mean FROM scal WHERE column_name = '{c}')) / "
+                          f"coalesce(nullif((SELECT std FROM scal WHERE column_name = '{c}'), 0), 1) AS {_q(c)}")
+    else:
+        expr = lambda c: (f"(CAST(e.{_q(c)} AS DOUBLE) - (SELECT mn FROM scal WHERE column_name = '{c}')) / "
+                          f"coalesce(nullif((SELECT mx - mn FROM scal WHERE column_name = '{c}'), 0), 1) AS {_q(c)}")
+    return (f"{name} AS (SELECT batch_id, tie1, tie2, row_index, CLAIM_PAID, "
+            + ", ".join(expr(c) for c in _FEATS) + " FROM encoded e)")
+
+
 def _scaled_sql(kind):
     if kind == "A":
         expr = lambda c: (f"round((CAST(e.{_q(c)} AS DOUBLE) - (SELECT mean FROM scal WHERE column_name = '{c}')) / "
