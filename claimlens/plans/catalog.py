@@ -11,6 +11,7 @@ _MODULES = (
     "claimlens.plans.profile_queries",
     "claimlens.plans.prep_queries",
     "claimlens.plans.model_queries",
+    "claimlens.plans.stream_queries",
 )
 
 
