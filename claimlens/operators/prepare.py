@@ -122,6 +122,12 @@ def fit_scalers(df: DataFrame, columns: list[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*items)))
 
 
+def scaler_dict(params: DataFrame) -> dict:
+    """The fitted scaler table (one row per feature) as {field: {column: value}}."""
+    rows = params.select("column", "mean", "std", "min", "max").collect()
+    return {f: {r["column"]: r[f] for r in rows} for f in ("mean", "std", "min", "max")}
+
+
 def _param_row(params: DataFrame | dict, columns: list[str], field: str):
     d = params[field] if isinstance(params, dict) else params_dict(params, field)
     return {c: F.lit(d.get(c)).cast("double") for c in columns}
@@ -208,22 +214,28 @@ def prepare(cleaned: DataFrame, settings: Settings = DEFAULTS, tie_cols=("batch_
     every fitted parameter table. ``row_index`` is the time-order position."""
     t = settings.target
     base = _base(cleaned, settings, tie_cols)
+    if persist:        # read by every fit below; positions computed once
+        base = base.persist()
     num = [f.name for f in base.schema.fields
            if isinstance(f.dataType, NumericType) and f.name not in BOOKKEEPING and f.name != t]
     cat = [f.name for f in base.schema.fields
            if isinstance(f.dataType, StringType) and f.name not in BOOKKEEPING]
-    base, medians = impute_median(base, num, settings=settings)
-    base, modes = impute_mode(base, cat)
+    medians = fit_medians(base, num, settings)
+    modes = fit_modes(base, cat)
+    if persist:
+        medians, modes = medians.persist(), modes.persist()
+    base = apply_modes(apply_medians(base, medians, num), modes, cat)
     dictionary = fit_dictionary(base, cat)
-    base = encode(base, dictionary, cat)
     if persist:
-        base = base.persist()
+        dictionary = dictionary.persist()
+    base = encode(base, dictionary, cat)
     feats = [c for c in base.columns if c not in BOOKKEEPING and c != t]
     scalers = fit_scalers(base, feats)
     if persist:
         scalers = scalers.persist()
-    a = scale_standard(base, scalers, feats)
-    b = scale_minmax(base, scalers, feats)
+    sd = scaler_dict(scalers)
+    a = scale_standard(base, sd, feats)
+    b = scale_minmax(base, sd, feats)
     return Prepared(a, b, medians, modes, dictionary, scalers, feats, num, cat)
 
 

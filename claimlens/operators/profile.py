@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimlens.operators.quality import missing_counts, outlier_profile
+from claimlens.operators.quality import fences, missing_counts, outlier_profile
 from claimlens.operators.stats import group_quantiles, numeric_columns, unpivot
 from claimlens.settings import DEFAULTS, HISTOGRAM_BINS, HISTOGRAM_COLUMNS, TOP_CORRELATIONS, Settings
 
@@ -110,7 +110,8 @@ def eda(df: DataFrame, batch_col: str = B, settings: Settings = DEFAULTS) -> Dat
     """A10: per batch one record of describe + top correlations + missing
     counts + outlier summary, each as JSON text."""
     cols = numeric_columns(df)
-    desc = (describe_numeric(df, cols, batch_col, settings)
+    described = describe_numeric(df, cols, batch_col, settings).persist()   # quartiles reused below
+    desc = (described
             .groupBy(batch_col).agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct(
                 "column", F.struct("count", "mean", "std", "min", "q25", "q50", "q75", "max")))))).alias("basic_stats")))
     corr = (top_correlations(correlation_pairs(df, cols, batch_col), batch_col=batch_col)
@@ -119,7 +120,8 @@ def eda(df: DataFrame, batch_col: str = B, settings: Settings = DEFAULTS) -> Dat
     miss = (missing_counts(df, batch_col=batch_col)
             .groupBy(batch_col).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("column", "nulls"))))
                                     .alias("missing_patterns")))
-    outl = (outlier_profile(df, cols, batch_col, settings)
+    bounds = fences(described.select(batch_col, "col_ord", "column", "q25", "q75"), settings)
+    outl = (outlier_profile(df, cols, batch_col, settings, bounds=bounds)
             .groupBy(batch_col).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(
                 "column", F.struct(F.col("outliers").alias("count"), F.col("outlier_ratio").alias("ratio"),
                                    "lower_bound", "upper_bound"))))).alias("outliers_summary")))

@@ -42,13 +42,18 @@ def iqr_bounds(df: DataFrame, columns: list[str], batch_col: str = B,
     long = unpivot(df, [batch_col], columns)
     q = group_quantiles(long, [batch_col, "col_ord", "column"], "value", [0.25, 0.75],
                         method=settings.quantile_method)
+    return fences(q, settings)
+
+
+def fences(q: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """IQR fences from a table holding ``q25`` and ``q75``."""
     k = settings.iqr_factor
     return (q.withColumn("lower_bound", F.col("q25") - k * (F.col("q75") - F.col("q25")))
              .withColumn("upper_bound", F.col("q75") + k * (F.col("q75") - F.col("q25"))))
 
 
 def outlier_profile(df: DataFrame, columns: list[str] | None = None, batch_col: str = B,
-                    settings: Settings = DEFAULTS) -> DataFrame:
+                    settings: Settings = DEFAULTS, bounds: DataFrame | None = None) -> DataFrame:
     """A3: IQR fences and outlier ratio (outliers / all rows of the batch).
 
     Two passes over the unpivoted data: quantiles, then a count against the
@@ -56,7 +61,7 @@ def outlier_profile(df: DataFrame, columns: list[str] | None = None, batch_col:
     """
     cols = [c for c in (columns or settings.numeric_columns) if c in df.columns]
     long = unpivot(df, [batch_col], cols)
-    bounds = iqr_bounds(df, cols, batch_col, settings)
+    bounds = bounds if bounds is not None else iqr_bounds(df, cols, batch_col, settings)
     v = F.col("value")
     counted = (long.join(bounds.select(batch_col, "column", "lower_bound", "upper_bound"),
                          [batch_col, "column"], "left")

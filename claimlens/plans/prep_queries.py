@@ -177,7 +177,7 @@ def p20_inflate(spark, sf_dir):
 # ---- W1, W2, O2, U2 --------------------------------------------------------------------
 @query("w1_dedup", with_policies(f"SELECT * FROM ({CLEANED_SQL}) c", indexed=False))
 def w1_dedup(spark, sf_dir):
-    return cleaned(spark, sf_dir)
+    return cleaned(spark, sf_dir, stored=False)      # runs the dedup itself
 
 
 @query("w1_rows_removed", with_policies(f"""
@@ -186,12 +186,16 @@ FROM (SELECT batch_id, count(*) AS n FROM policies GROUP BY batch_id) p
 JOIN (SELECT batch_id, count(*) AS n FROM ({CLEANED_SQL}) x GROUP BY batch_id) c USING (batch_id)""", indexed=False))
 def w1_rows_removed(spark, sf_dir):
     from claimlens.operators.dedup import rows_removed
-    return rows_removed(policies(spark, sf_dir, with_index=False), cleaned(spark, sf_dir))
+    return rows_removed(policies(spark, sf_dir, with_index=False), cleaned(spark, sf_dir, stored=False))
 
 
 @query("w2_row_index", with_policies(f"SELECT row_index, {KEYS_SQL} FROM policies"))
 def w2_row_index(spark, sf_dir):
-    return policies(spark, sf_dir).select("row_index", *KEYS)
+    # the two-level rank itself, over the stored (unindexed) raw rows
+    from claimlens.sources.fixtures import MISSING_DATE_SENTINEL
+    p = policies(spark, sf_dir, with_index=False).withColumn(
+        "_bk", F.coalesce("INSR_BEGIN", F.lit(MISSING_DATE_SENTINEL).cast("date")))
+    return with_row_index(p, ["_bk", *FIX_TIES]).select("row_index", *KEYS)
 
 
 @query("o2_split", with_cleaned(f"""
