@@ -21,7 +21,7 @@ from claimlens.sources.fixtures import (CLEANED_SQL, FEATURES_SQL, POLICIES_SQL,
 S = DEFAULTS
 KEYS = ["batch_id", "OBJECT_ID", "tie1", "tie2"]
 KEYS_SQL = "batch_id, OBJECT_ID, tie1, tie2"
-FIX_TIES = ("OBJECT_ID", "tie1", "tie2")
+FIX_TIES = ("OBJECT_ID", "tie1", "tie2", "tie3")
 FIX_YEAR = 1998          # year present in both the old (< 5) and new (>= 5) batches of the fixture
 BEGIN_KEY = "coalesce(INSR_BEGIN, DATE '9999-12-31')"
 
@@ -200,7 +200,7 @@ def w2_row_index(spark, sf_dir):
 
 @query("o2_split", with_cleaned(f"""
 SELECT *, row_index < split_idx AS is_train FROM (
-  SELECT {KEYS_SQL}, row_number() OVER (ORDER BY {BEGIN_KEY}, OBJECT_ID, tie1, tie2) - 1 AS row_index,
+  SELECT {KEYS_SQL}, row_number() OVER (ORDER BY {BEGIN_KEY}, OBJECT_ID, tie1, tie2, tie3) - 1 AS row_index,
          CAST(floor(count(*) OVER () * {S.train_split}) AS BIGINT) AS split_idx
   FROM cleaned) t"""))
 def o2_split(spark, sf_dir):
@@ -211,7 +211,7 @@ def o2_split(spark, sf_dir):
 @query("u2_concat", with_cleaned(f"""
 SELECT *, row_index < split_idx AS is_train FROM (
   SELECT part_ord, {KEYS_SQL},
-         row_number() OVER (ORDER BY part_ord, {BEGIN_KEY}, OBJECT_ID, tie1, tie2) - 1 AS row_index,
+         row_number() OVER (ORDER BY part_ord, {BEGIN_KEY}, OBJECT_ID, tie1, tie2, tie3) - 1 AS row_index,
          CAST(floor(count(*) OVER () * {S.train_split}) AS BIGINT) AS split_idx
   FROM (SELECT 0 AS part_ord, * FROM cleaned WHERE batch_id >= 5
         UNION ALL SELECT 1 AS part_ord, * FROM cleaned WHERE batch_id < 5) u) t"""))
@@ -225,7 +225,7 @@ def u2_concat(spark, sf_dir):
 
 # ---- S1-S11 sources and batch bookkeeping -----------------------------------------------
 _SRC_SQL = f"""src AS (
-  SELECT *, row_number() OVER (ORDER BY source_ord, {BEGIN_KEY}, OBJECT_ID, tie1, tie2) - 1 AS row_index
+  SELECT *, row_number() OVER (ORDER BY source_ord, {BEGIN_KEY}, OBJECT_ID, tie1, tie2, tie3) - 1 AS row_index
   FROM (SELECT 0 AS source_ord, * FROM policies WHERE batch_id < 5
         UNION ALL SELECT 1 AS source_ord, * REPLACE (NULL::DOUBLE AS CARRYING_CAPACITY) FROM policies WHERE batch_id >= 5) u)"""
 
@@ -346,7 +346,7 @@ _FEATS = _NUM_PREP + _CAT_PREP
 
 _BASE_SQL = f"""filled AS (SELECT * REPLACE (coalesce(CLAIM_PAID, 0e0) AS CLAIM_PAID) FROM ({CLEANED_SQL}) c),
 feat AS (SELECT *, year(INSR_BEGIN) AS INSR_YEAR, {FEATURES_SQL} FROM filled),
-pos AS (SELECT *, row_number() OVER (ORDER BY {BEGIN_KEY}, OBJECT_ID, tie1, tie2) - 1 AS row_index FROM feat),
+pos AS (SELECT *, row_number() OVER (ORDER BY {BEGIN_KEY}, OBJECT_ID, tie1, tie2, tie3) - 1 AS row_index FROM feat),
 base AS (SELECT * EXCLUDE (INSR_BEGIN, INSR_END, OBJECT_ID) FROM pos),
 medians AS ({union_all_sql([f"SELECT '{c}' AS column_name, median(CAST({_q(c)} AS DOUBLE)) AS median FROM base" for c in _NUM_PREP])}),
 modes AS ({union_all_sql([f"SELECT '{c}' AS column_name, (SELECT v FROM (SELECT {_q(c)} AS v, count(*) AS n FROM base WHERE {_q(c)} IS NOT NULL GROUP BY v ORDER BY n DESC, v LIMIT 1) x) AS mode" for c in _CAT_PREP])}),

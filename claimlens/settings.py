@@ -50,7 +50,7 @@ TOP_CORRELATIONS = 5
 # ---------------------------------------------------------------------------
 
 # Columns that carry bookkeeping, never data.
-BOOKKEEPING = ("batch_id", "row_index", "source_ord", "tie1", "tie2", "part_ord")
+BOOKKEEPING = ("batch_id", "row_index", "source_ord", "tie1", "tie2", "tie3", "part_ord")
 
 
 @dataclass(frozen=True)

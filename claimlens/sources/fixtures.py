@@ -19,8 +19,9 @@ POLICY_COLUMNS = (
 )
 
 # Order of the rows ("file order" of the reference's CSV): start date with
-# missing dates last, then object id and two tie breakers.
-ROW_ORDER = ("_begin_key", "OBJECT_ID", "tie1", "tie2")
+# missing dates last, then object id and three tie breakers (part, supplier
+# and ship time: (order, line, part, supplier) alone repeats at sf0.001).
+ROW_ORDER = ("_begin_key", "OBJECT_ID", "tie1", "tie2", "tie3")
 MISSING_DATE_SENTINEL = "9999-12-31"
 
 
@@ -48,10 +49,10 @@ def _stored(spark: SparkSession, sf_dir: str, kind: str, build) -> DataFrame:
 
 
 def policies(spark: SparkSession, sf_dir: str, with_index: bool = True, stored: bool = True) -> DataFrame:
-    """Policy records with ``batch_id``, ``tie1``, ``tie2`` (and ``row_index``)."""
+    """Policy records with ``batch_id``, ``tie1..tie3`` (and ``row_index``)."""
     if stored:
         df = _stored(spark, sf_dir, "policies", lambda: policies(spark, sf_dir, True, stored=False))
-        cols = [*POLICY_COLUMNS, "batch_id", "tie1", "tie2"] + (["row_index"] if with_index else [])
+        cols = [*POLICY_COLUMNS, "batch_id", "tie1", "tie2", "tie3"] + (["row_index"] if with_index else [])
         return df.select(*cols)
     l = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
@@ -90,6 +91,7 @@ def policies(spark: SparkSession, sf_dir: str, with_index: bool = True, stored:
         F.floor(((F.year(odate) - 1995) * 12 + F.month(odate) - 1) / 8).cast("int").alias("batch_id"),
         F.col("l_partkey").alias("tie1"),
         F.col("l_suppkey").alias("tie2"),
+        F.col("l_shipdate").alias("tie3"),
     )
     if not with_index:
         return df
@@ -118,7 +120,8 @@ SELECT
   CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL ELSE o_orderpriority END AS "USAGE",
   CAST(floor(((year(o_orderdate) - 1995) * 12 + month(o_orderdate) - 1) / 8) AS INTEGER) AS batch_id,
   l_partkey AS tie1,
-  l_suppkey AS tie2
+  l_suppkey AS tie2,
+  l_shipdate AS tie3
 FROM lineitem
 JOIN orders ON l_orderkey = o_orderkey
 JOIN part ON l_partkey = p_partkey
@@ -127,7 +130,7 @@ JOIN customer ON o_custkey = c_custkey
 
 POLICIES_INDEXED_SQL = f"""
 SELECT *, row_number() OVER (
-  ORDER BY coalesce(INSR_BEGIN, DATE '{MISSING_DATE_SENTINEL}'), OBJECT_ID, tie1, tie2) - 1 AS row_index
+  ORDER BY coalesce(INSR_BEGIN, DATE '{MISSING_DATE_SENTINEL}'), OBJECT_ID, tie1, tie2, tie3) - 1 AS row_index
 FROM ({POLICIES_SQL}) pv
 """
 
@@ -143,22 +146,22 @@ def cleaned(spark: SparkSession, sf_dir: str, features: bool = False, stored: bo
     and object id within a batch), optionally with the derived features.
 
     Within a dedup group the start date and object id are constant, so
-    "first by position" is "first by (tie1, tie2)": no global position needed.
+    "first by position" is "first by (tie1, tie2, tie3)": no global position needed.
     """
     from claimlens.functions.features import create_features
     from claimlens.operators.dedup import dedup_first
     if stored:
         out = _stored(spark, sf_dir, "cleaned", lambda: cleaned(spark, sf_dir, stored=False))
-        out = out.select(*POLICY_COLUMNS, "batch_id", "tie1", "tie2")
+        out = out.select(*POLICY_COLUMNS, "batch_id", "tie1", "tie2", "tie3")
     else:
         raw = policies(spark, sf_dir, with_index=False)
-        out = dedup_first(raw, ["INSR_BEGIN", "OBJECT_ID"], ("tie1", "tie2"), ("batch_id",))
+        out = dedup_first(raw, ["INSR_BEGIN", "OBJECT_ID"], ("tie1", "tie2", "tie3"), ("batch_id",))
     return create_features(out) if features else out
 
 
 CLEANED_SQL = """
 SELECT * EXCLUDE (_rn) FROM (
-  SELECT *, row_number() OVER (PARTITION BY batch_id, INSR_BEGIN, OBJECT_ID ORDER BY tie1, tie2) AS _rn
+  SELECT *, row_number() OVER (PARTITION BY batch_id, INSR_BEGIN, OBJECT_ID ORDER BY tie1, tie2, tie3) AS _rn
   FROM policies) t WHERE _rn = 1
 """
 
