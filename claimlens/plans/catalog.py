@@ -12,6 +12,7 @@ _MODULES = (
     "claimlens.plans.prep_queries",
     "claimlens.plans.model_queries",
     "claimlens.plans.stream_queries",
+    "claimlens.plans.job_queries",
 )
 
 
