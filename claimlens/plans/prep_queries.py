@@ -127,7 +127,7 @@ _KEPT = [c for c in POLICY_COLUMNS if c not in S.drop_columns]
 
 
 @query("p14_drop_columns", with_cleaned(
-    "SELECT batch_id, tie1, tie2, " + ", ".join(_q(c) for c in _KEPT) + " FROM cleaned"))
+    "SELECT batch_id, tie1, tie2, tie3, " + ", ".join(_q(c) for c in _KEPT) + " FROM cleaned"))
 def p14_drop_columns(spark, sf_dir):
     return X.drop_columns(cleaned(spark, sf_dir), list(S.drop_columns) + ["NOT_THERE"])
 
@@ -198,6 +198,22 @@ def w2_row_index(spark, sf_dir):
     return with_row_index(p, ["_bk", *FIX_TIES]).select("row_index", *KEYS)
 
 
+@query("o1_sort_by_start", with_cleaned(f"""
+SELECT {KEYS_SQL}, row_number() OVER (ORDER BY {BEGIN_KEY}, OBJECT_ID, tie1, tie2, tie3) - 1 AS position
+FROM cleaned"""))
+def o1_sort_by_start(spark, sf_dir):
+    return E.order_by_start(cleaned(spark, sf_dir), FIX_TIES, "position").select(*KEYS, "position")
+
+
+@query("s12_fallback_load", with_policies(f"SELECT {KEYS_SQL}, PREMIUM FROM policies", indexed=False))
+def s12_fallback_load(spark, sf_dir):
+    """No cleaned table and no cleaned CSV yet: the last raw source is loaded."""
+    missing = scratch_dir(spark, "not_written")
+    raw = scratch_dir(spark, "raw_source")
+    policies(spark, sf_dir, with_index=False).write.parquet(raw)
+    return SB.load_cleaned(spark, missing, missing + "_csv", [missing + "_first", raw]).select(*KEYS, "PREMIUM")
+
+
 @query("o2_split", with_cleaned(f"""
 SELECT *, row_index < split_idx AS is_train FROM (
   SELECT {KEYS_SQL}, row_number() OVER (ORDER BY {BEGIN_KEY}, OBJECT_ID, tie1, tie2, tie3) - 1 AS row_index,
@@ -361,8 +377,27 @@ encoded AS (SELECT batch_id, tie1, tie2, row_index, CLAIM_PAID, {", ".join(_q(c)
 scal AS ({union_all_sql([f"SELECT '{c}' AS column_name, avg(CAST({_q(c)} AS DOUBLE)) AS mean, stddev_pop(CAST({_q(c)} AS DOUBLE)) AS std, min(CAST({_q(c)} AS DOUBLE)) AS mn, max(CAST({_q(c)} AS DOUBLE)) AS mx FROM encoded" for c in _FEATS])})"""
 
 
-def _prepared(spark, sf_dir):
-    return E.prepare(cleaned(spark, sf_dir), tie_cols=FIX_TIES)
+_STORED_PREP: dict = {}
+
+
+def _prepared(spark, sf_dir, stored: bool = False):
+    """E7 over the cleaned batches. ``stored=True`` is what the training and
+    serving stages read: the prepared tables and fitted parameters written
+    once per session (S13 sinks) and read back."""
+    if not stored:
+        return E.prepare(cleaned(spark, sf_dir), tie_cols=FIX_TIES)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _STORED_PREP:
+        p = E.prepare(cleaned(spark, sf_dir), tie_cols=FIX_TIES)
+        root = scratch_dir(spark, "prepared")
+        for name in ("table_a", "table_b", "medians", "modes", "dictionary", "scalers"):
+            getattr(p, name).write.parquet(f"{root}/{name}")
+        _STORED_PREP[key] = (root, p.feature_cols, p.numeric_cols, p.categorical_cols)
+    root, feats, num, cat = _STORED_PREP[key]
+    t = {n: spark.read.parquet(f"{root}/{n}") for n in ("table_a", "table_b", "medians", "modes",
+                                                        "dictionary", "scalers")}
+    return E.Prepared(t["table_a"], t["table_b"], t["medians"], t["modes"], t["dictionary"], t["scalers"],
+                      feats, num, cat)
 
 
 @query("e1_impute_median", with_policies(f", {_BASE_SQL}\nSELECT column_name AS \"column\", round(median, 6) AS median FROM medians", indexed=False))

@@ -187,3 +187,23 @@ def ingest(spark: SparkSession, rows: DataFrame, raw_path: str, meta_path: str,
     write_batches(todo, raw_path)
     append_metadata(spark, meta_path, batch_metadata(todo, sources_name, version, index_col))
     return n
+
+
+# ---- S12 ------------------------------------------------------------------------
+def load_cleaned(spark: SparkSession, cleaned_table: str, cleaned_csv: str | None, raw_paths: list[str],
+                 csv_schema: T.StructType | None = None) -> DataFrame:
+    """The cleaned batches (contiguous prefix, all batches together),
+    else a cleaned CSV, else the **last** raw source."""
+    t = read_batch_table(spark, cleaned_table)
+    if t is not None and t.limit(1).count() > 0:
+        return contiguous_batches(t)
+    if cleaned_csv:
+        try:
+            return spark.read.schema(csv_schema).option("header", True).csv(cleaned_csv) if csv_schema \
+                else spark.read.option("header", True).csv(cleaned_csv)
+        except Exception:  # noqa: BLE001 - absent file
+            pass
+    last = raw_paths[-1]
+    if last.endswith(".csv") and csv_schema is not None:
+        return read_policies(spark, last, csv_schema)
+    return spark.read.parquet(last)
