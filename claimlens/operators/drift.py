@@ -135,7 +135,8 @@ def detect_drift(df: DataFrame, settings: Settings = DEFAULTS, batch_col: str =
     num, cat = split_monitored(df, settings)
     parts = []
     if num:
-        ref_hist = reference_histogram(df, num, settings=settings, batch_col=batch_col)
+        # the fitted reference (columns x bins rows) is read several times
+        ref_hist = reference_histogram(df, num, settings=settings, batch_col=batch_col).persist()
         parts.append(psi_numeric(df, ref_hist, num, mode, settings, batch_col).withColumn("kind", F.lit("numeric")))
     if cat:
         parts.append(psi_categorical(df, cat, settings, batch_col).withColumn("kind", F.lit("categorical")))

@@ -44,7 +44,7 @@ def fit_tree(train: DataFrame, cols: list[str], settings: Settings = DEFAULTS, l
     label = label or settings.target
     est = DecisionTreeRegressor(featuresCol="features", labelCol=label, maxDepth=settings.tree_max_depth,
                                 seed=settings.seed)
-    return est.fit(assemble(train, cols))
+    return _fit_cached(est, assemble(train, cols).select("features", label))
 
 
 def fit_linear(train: DataFrame, cols: list[str], settings: Settings = DEFAULTS, label: str | None = None):
@@ -53,7 +53,19 @@ def fit_linear(train: DataFrame, cols: list[str], settings: Settings = DEFAULTS,
     label = label or settings.target
     est = LinearRegression(featuresCol="features", labelCol=label, maxIter=settings.sgd_max_iter,
                            regParam=1e-4, elasticNetParam=0.0, standardization=False)
-    return est.fit(assemble(train, cols))
+    return _fit_cached(est, assemble(train, cols).select("features", label))
+
+
+def _fit_cached(est, data: DataFrame):
+    """Iterative estimators re-read their input once per pass (per tree
+    level): keep the assembled rows (features + label only) persisted for
+    the duration of the fit."""
+    from pyspark import StorageLevel
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return est.fit(data)
+    finally:
+        data.unpersist()
 
 
 # ---- M4 --------------------------------------------------------------------------
