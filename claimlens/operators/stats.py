@@ -72,7 +72,7 @@ def _q_names(probs):
 
 def group_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
                     method: str = "exact", names: list[str] | None = None,
-                    accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
+                    accuracy: int = QUANTILE_ACCURACY, halfwidth: float | None = None) -> DataFrame:
     """Per group of ``keys``: interpolated quantiles of non-null ``value``.
 
     Returns ``keys + names``; groups whose values are all NULL are absent.
@@ -86,7 +86,7 @@ def group_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
         return (nn.groupBy(*keys).agg(F.percentile("_v", F.array(*[F.lit(p) for p in probs])).alias("_q"))
                   .select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)]))
 
-    half = 4.0 / accuracy
+    half = 4.0 / accuracy if halfwidth is None else halfwidth
     edges = []
     for p in probs:
         edges += [max(0.0, p - half), min(1.0, p + half)]
