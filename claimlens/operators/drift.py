@@ -106,14 +106,15 @@ def psi_numeric(df: DataFrame, ref_hist: DataFrame, columns: list[str], mode: st
 
 
 def psi_categorical(df: DataFrame, columns: list[str], settings: Settings = DEFAULTS,
-                    batch_col: str = B) -> DataFrame:
+                    batch_col: str = B, ref: DataFrame | None = None) -> DataFrame:
     """Sum over the reference categories of (c - r) ln(c / r); a category
     absent from the batch counts with share 1e-6; new categories are ignored.
 
     Written without a (batch x category) grid: the sum over absent categories
     is the all-absent total per column minus the terms of the present ones.
     """
-    ref = category_distribution(reference_rows(df, settings, batch_col), columns, name="r")
+    if ref is None:
+        ref = category_distribution(reference_rows(df, settings, batch_col), columns, name="r")
     absent = (F.lit(EPS) - F.col("r")) * F.ln(F.lit(EPS) / F.col("r"))
     base = ref.groupBy("column").agg(F.sum(absent).alias("_all_absent"))
     cur_rows = df.where(F.col(batch_col) >= settings.reference_batches)
@@ -127,19 +128,32 @@ def psi_categorical(df: DataFrame, columns: list[str], settings: Settings = DEFA
                  .select(batch_col, "column", (F.col("_all_absent") + F.coalesce("_p", F.lit(0.0))).alias("psi")))
 
 
+def fit_reference(df: DataFrame, settings: Settings = DEFAULTS, batch_col: str = B):
+    """The stored drift reference: (numeric bins, category shares)."""
+    num, cat = split_monitored(df, settings)
+    hist = reference_histogram(df, num, settings=settings, batch_col=batch_col) if num else None
+    dist = category_distribution(reference_rows(df, settings, batch_col), cat, name="r") if cat else None
+    return hist, dist
+
+
 def detect_drift(df: DataFrame, settings: Settings = DEFAULTS, batch_col: str = B,
-                 mode: str | None = None) -> DataFrame:
+                 mode: str | None = None, reference=None) -> DataFrame:
     """Drift table ``batch_id, column, kind, psi, threshold, drifted, severity``
-    for every batch after the reference window and every monitored column."""
+    for every batch after the reference window and every monitored column.
+    ``reference`` is a stored (bins, shares) pair; without it the reference is
+    fitted from ``df``'s own first batches."""
     mode = mode or settings.psi_mode
     num, cat = split_monitored(df, settings)
     parts = []
+    ref_hist, ref_dist = reference if reference is not None else (None, None)
     if num:
         # the fitted reference (columns x bins rows) is read several times
-        ref_hist = reference_histogram(df, num, settings=settings, batch_col=batch_col).persist()
+        if ref_hist is None:
+            ref_hist = reference_histogram(df, num, settings=settings, batch_col=batch_col).persist()
         parts.append(psi_numeric(df, ref_hist, num, mode, settings, batch_col).withColumn("kind", F.lit("numeric")))
     if cat:
-        parts.append(psi_categorical(df, cat, settings, batch_col).withColumn("kind", F.lit("categorical")))
+        parts.append(psi_categorical(df, cat, settings, batch_col, ref=ref_dist)
+                     .withColumn("kind", F.lit("categorical")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -40,6 +40,15 @@ def t2_stream_quality(spark, sf_dir):
     return spark.read.parquet(out).drop("epoch")
 
 
+@query("t2_stream_analyse", __import__("claimlens.plans.profile_queries", fromlist=["A17_SQL"]).A17_SQL)
+def t2_stream_analyse(spark, sf_dir):
+    """Per micro-batch analysis; the drift rows appended over all epochs equal the batch drift report."""
+    src, schema = _policy_files(spark, sf_dir)
+    root, ckpt = scratch_dir(spark, "analyse_stream"), scratch_dir(spark, "ckpt")
+    paths = T.stream_analyse(spark, src, schema, root, ckpt, order_cols=("tie1", "tie2", "tie3"))
+    return spark.read.parquet(paths["drift"]).withColumn("psi", r6("psi"))
+
+
 def _events(spark, sf_dir):
     # event time must be a (UTC) TIMESTAMP for watermarks
     e = read_table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))

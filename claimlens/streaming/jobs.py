@@ -86,6 +86,48 @@ def stream_quality(spark: SparkSession, source_path: str, schema: StructType, ou
     return q
 
 
+def stream_analyse(spark: SparkSession, source_path: str, schema: StructType, root: str, checkpoint: str,
+                   order_cols=("row_index",), settings: Settings = DEFAULTS, fmt: str = "parquet",
+                   files_per_batch: int = 1):
+    """The analysis loop per arriving micro-batch: quality summary,
+    keep-first dedup, features, cleaned batch table, and drift.
+
+    The drift reference is fitted once all reference batches are stored and
+    kept as a table; drift is then computed for every stored batch after the
+    reference window that has none yet, so the result does not depend on
+    the order in which batches arrive."""
+    from claimlens.functions.features import create_features
+    from claimlens.operators.dedup import dedup_first
+    from claimlens.operators.drift import detect_drift, fit_reference
+    stream = _file_stream(spark, source_path, schema, fmt, files_per_batch)
+    paths = {n: f"{root}/{n}" for n in ("quality_summary", "cleaned_batches", "ref_bins", "ref_shares", "drift")}
+
+    def analyse(batch: DataFrame, epoch_id: int) -> None:
+        quality_summary(batch, settings=settings).write.mode("append").parquet(paths["quality_summary"])
+        clean = create_features(dedup_first(batch, list(settings.dedup_keys), tuple(order_cols)), settings)
+        SB.write_batches(clean, paths["cleaned_batches"])
+        stored = spark.read.parquet(paths["cleaned_batches"])
+        ref_bins = SB.read_batch_table(spark, paths["ref_bins"])
+        if ref_bins is None:
+            have = stored.where(F.col("batch_id") < settings.reference_batches).select("batch_id").distinct().count()
+            if have < settings.reference_batches:
+                return
+            bins, shares = fit_reference(stored, settings)
+            bins.write.parquet(paths["ref_bins"])
+            shares.write.parquet(paths["ref_shares"])
+        ref = (spark.read.parquet(paths["ref_bins"]), spark.read.parquet(paths["ref_shares"]))
+        done = SB.read_batch_table(spark, paths["drift"])
+        todo = stored.where(F.col("batch_id") >= settings.reference_batches)
+        if done is not None:
+            todo = todo.join(done.select("batch_id").distinct(), "batch_id", "left_anti")
+        detect_drift(todo, settings, reference=ref).write.mode("append").parquet(paths["drift"])
+
+    q = (stream.writeStream.foreachBatch(analyse).option("checkpointLocation", checkpoint)
+               .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return paths
+
+
 def stream_dedup(spark: SparkSession, source_path: str, schema: StructType, keys: list[str], ts: str,
                  delay: str, out_path: str, checkpoint: str, files_per_batch: int | None = None):
     """First row per key within the watermark (bounded state)."""
