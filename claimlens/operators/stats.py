@@ -25,7 +25,7 @@ from pyspark.sql.types import NumericType, StringType
 
 from claimlens.settings import BOOKKEEPING
 
-QUANTILE_ACCURACY = 20_000
+QUANTILE_ACCURACY = 5_000
 BROADCAST_MAX_ROWS = 1_000_000
 
 
