@@ -128,7 +128,8 @@ def _pivot_dist(pivots_matrix):
 
 
 def knn_predict(train: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "id", vec: str = "vec",
-                label: str = "label", qid: str = "qid", pivots: int | None = None) -> DataFrame:
+                label: str = "label", qid: str = "qid", pivots: int | None = None,
+                exclude_self: bool = False) -> DataFrame:
     """M5: exact k-nearest-neighbour regression (Euclidean, uniform weights,
     ties to the lower train id) without comparing every pair.
 
@@ -143,6 +144,9 @@ def knn_predict(train: DataFrame, queries: DataFrame, k: int = 5, id_col: str =
     4. Top-k per query is ``row_number() <= k``; Spark applies the group
        limit map-side, so a query never gathers all its candidates.
 
+    ``exclude_self`` (leave-one-out: queries are train rows) drops the pair
+    of a row with itself.
+
     Returns ``qid, prediction, neighbours`` (sorted train ids).
     """
     t = train.select(F.col(id_col).alias("_tid"), F.col(vec).alias("_tv"), F.col(label).cast("double").alias("_y"))
@@ -169,11 +173,15 @@ def knn_predict(train: DataFrame, queries: DataFrame, k: int = 5, id_col: str =
            .withColumn("_pid", (F.col("_pos") + 1).cast("int")).drop("_pos")
            .join(F.broadcast(radius), "_pid"))           # one row per pivot
     wq = Window.partitionBy("_qid").orderBy("_qd", "_pid").rowsBetween(Window.unboundedPreceding, -1)
+    cover = k + 1 if exclude_self else k
     first = (qp.withColumn("_before", F.coalesce(F.sum("_size").over(wq), F.lit(0)))
-               .where(F.col("_before") < k).select("_qid", "_pid"))
+               .where(F.col("_before") < cover).select("_qid", "_pid"))
 
     def dists(pairs):
-        return (pairs.join(cells.select("_pid", "_tid", "_tv", "_y"), "_pid").join(q, "_qid")
+        d = pairs.join(cells.select("_pid", "_tid", "_tv", "_y"), "_pid")
+        if exclude_self:
+            d = d.where(F.col("_tid") != F.col("_qid"))
+        return (d.join(q, "_qid")
                      .withColumn("_d2", sq_dist("_qv", "_tv")).withColumn("_dist", F.sqrt("_d2"))
                      .select("_qid", "_tid", "_y", "_d2", "_dist"))
 
