@@ -14,11 +14,19 @@ from claimlens.sources.fixtures import policies, read_table, with_policies
 from claimlens.streaming import jobs as T
 
 
+_SOURCES: dict = {}
+
+
 def _policy_files(spark, sf_dir):
-    """The policies view as a file source, one file per batch directory."""
-    src = scratch_dir(spark, "policy_files")
-    p = policies(spark, sf_dir, with_index=False)
-    p.repartition("batch_id").write.partitionBy("batch_id").parquet(src)
+    """The policies view as a file source, one file per batch directory
+    (written once per session; each stream keeps its own checkpoint)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), "policies")
+    if key not in _SOURCES:
+        src = scratch_dir(spark, "policy_files")
+        p = policies(spark, sf_dir, with_index=False)
+        p.repartition("batch_id").write.partitionBy("batch_id").parquet(src)
+        _SOURCES[key] = src
+    src = _SOURCES[key]
     return src, spark.read.parquet(src).schema
 
 
@@ -52,9 +60,12 @@ def t2_stream_analyse(spark, sf_dir):
 def _events(spark, sf_dir):
     # event time must be a (UTC) TIMESTAMP for watermarks
     e = read_table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    src = scratch_dir(spark, "event_files")
-    e.write.parquet(src)
-    return src, e.schema
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), "events")
+    if key not in _SOURCES:
+        src = scratch_dir(spark, "event_files")
+        e.write.parquet(src)
+        _SOURCES[key] = src
+    return _SOURCES[key], e.schema
 
 
 @query("t3_stream_dedup", """
