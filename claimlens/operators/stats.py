@@ -14,7 +14,7 @@ group in one task:
    statistics and interpolates.
 
 If a bracket misses its rank (the sketch bound did not hold) the affected
-groups are recomputed with Spark's exact ``percentile``.
+groups are recomputed with the bracket [min, max] (same interpolation).
 """
 
 from __future__ import annotations
@@ -122,8 +122,9 @@ def group_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
     missed = per_k.where(F.col("_q").isNull()).select(*keys).distinct()
     wide = (per_k.groupBy(*keys)
                  .agg(*[F.max(F.when(F.col("k") == k, F.col("_q"))).alias(n) for k, n in enumerate(names)]))
-    if missed.limit(1).count() == 0:
+    if missed.limit(1).count() == 0 or half >= 1.0:
         return wide
+    # bracket [min, max]: every value of the missed groups is a candidate
     exact = group_quantiles(nn.join(missed, keys, "left_semi"), keys, "_v", probs,
-                            method="spark", names=names)
+                            names=names, accuracy=accuracy, halfwidth=1.0)
     return wide.join(missed, keys, "left_anti").unionByName(exact)

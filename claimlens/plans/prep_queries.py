@@ -154,12 +154,13 @@ _COEF_SQL = f"""coef AS (
 
 
 @query("a20_inflation", with_cleaned(f""", {_COEF_SQL}
-SELECT round(new_median, 6) AS new_median, round(old_median, 6) AS old_median,
+SELECT round(new_median, 9) AS new_median, round(old_median, 9) AS old_median,
        round(new_median / nullif(old_median, 0), 6) AS coef FROM coef"""))
 def a20_inflation(spark, sf_dir):
     df = cleaned(spark, sf_dir).withColumn("INSR_YEAR", DT.policy_year("INSR_BEGIN"))
     c = E.inflation_coefficient(df.where("batch_id < 5"), df.where("batch_id >= 5"), FIX_YEAR)
-    return c.select(*[r6(x).alias(x) for x in ("new_median", "old_median", "coef")])
+    return c.select(F.round("new_median", 9).alias("new_median"), F.round("old_median", 9).alias("old_median"),
+                    r6("coef").alias("coef"))
 
 
 @query("p20_inflate", with_cleaned(f""", {_COEF_SQL}
@@ -400,10 +401,10 @@ def _prepared(spark, sf_dir, stored: bool = False):
                       feats, num, cat)
 
 
-@query("e1_impute_median", with_policies(f", {_BASE_SQL}\nSELECT column_name AS \"column\", round(median, 6) AS median FROM medians", indexed=False))
+@query("e1_impute_median", with_policies(f", {_BASE_SQL}\nSELECT column_name AS \"column\", round(median, 9) AS median FROM medians", indexed=False))
 def e1_impute_median(spark, sf_dir):
     p = _prepared(spark, sf_dir)
-    return p.medians.select("column", r6("median").alias("median"))
+    return p.medians.select("column", F.round("median", 9).alias("median"))
 
 
 @query("e2_impute_mode", with_policies(f", {_BASE_SQL}\nSELECT column_name AS \"column\", mode FROM modes", indexed=False))

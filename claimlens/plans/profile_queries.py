@@ -35,9 +35,9 @@ A7_SQL = with_cleaned(union_all_sql([
     f"""SELECT batch_id, {i} AS col_ord, '{c}' AS "column", count({_q(c)}) AS count,
        round(avg(CAST({_q(c)} AS DOUBLE)), 6) AS mean, round(stddev_samp(CAST({_q(c)} AS DOUBLE)), 6) AS std,
        CAST(min({_q(c)}) AS DOUBLE) AS min,
-       round(quantile_cont(CAST({_q(c)} AS DOUBLE), 0.25), 6) AS q25,
-       round(quantile_cont(CAST({_q(c)} AS DOUBLE), 0.5), 6) AS q50,
-       round(quantile_cont(CAST({_q(c)} AS DOUBLE), 0.75), 6) AS q75,
+       round(quantile_cont(CAST({_q(c)} AS DOUBLE), 0.25), 9) AS q25,
+       round(quantile_cont(CAST({_q(c)} AS DOUBLE), 0.5), 9) AS q50,
+       round(quantile_cont(CAST({_q(c)} AS DOUBLE), 0.75), 9) AS q75,
        CAST(max({_q(c)}) AS DOUBLE) AS max
 FROM cleaned GROUP BY batch_id""" for i, c in enumerate(EDA_NUM)]))
 
@@ -46,18 +46,18 @@ FROM cleaned GROUP BY batch_id""" for i, c in enumerate(EDA_NUM)]))
 def a7_describe(spark, sf_dir):
     d = P.describe_numeric(cleaned(spark, sf_dir))
     return d.select("batch_id", "col_ord", "column", "count", r6("mean").alias("mean"), r6("std").alias("std"),
-                    "min", r6("q25").alias("q25"), r6("q50").alias("q50"), r6("q75").alias("q75"), "max")
+                    "min", F.round("q25", 9).alias("q25"), F.round("q50", 9).alias("q50"), F.round("q75", 9).alias("q75"), "max")
 
 
 @query("a2_quantiles", with_cleaned(union_all_sql([
-    f"""SELECT batch_id, '{c}' AS "column", round(quantile_cont({_q(c)}, 0.25), 6) AS q25,
-       round(quantile_cont({_q(c)}, 0.5), 6) AS q50, round(quantile_cont({_q(c)}, 0.75), 6) AS q75
+    f"""SELECT batch_id, '{c}' AS "column", round(quantile_cont({_q(c)}, 0.25), 9) AS q25,
+       round(quantile_cont({_q(c)}, 0.5), 9) AS q50, round(quantile_cont({_q(c)}, 0.75), 9) AS q75
 FROM cleaned GROUP BY batch_id HAVING count({_q(c)}) > 0""" for c in S.numeric_columns])))
 def a2_quantiles(spark, sf_dir):
     from claimlens.operators.stats import group_quantiles, unpivot
     long = unpivot(cleaned(spark, sf_dir), ["batch_id"], list(S.numeric_columns))
     q = group_quantiles(long, ["batch_id", "column"], "value", [0.25, 0.5, 0.75])
-    return q.select("batch_id", "column", r6("q25").alias("q25"), r6("q50").alias("q50"), r6("q75").alias("q75"))
+    return q.select("batch_id", "column", F.round("q25", 9).alias("q25"), F.round("q50", 9).alias("q50"), F.round("q75", 9).alias("q75"))
 
 
 # ---- A8 correlations, O3 top 5 -----------------------------------------------

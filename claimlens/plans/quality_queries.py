@@ -54,7 +54,7 @@ prof AS (
 
 A3_SQL = with_policies(f""",{_iqr_cte('policies', NUM)}
 SELECT batch_id, col_ord, "column", total_rows, outliers,
-       round(lower_bound, 6) AS lower_bound, round(upper_bound, 6) AS upper_bound,
+       round(lower_bound, 8) AS lower_bound, round(upper_bound, 8) AS upper_bound,
        round(outliers / total_rows, 6) AS outlier_ratio
 FROM prof""", indexed=False)
 
@@ -64,7 +64,8 @@ def a3_outlier_profile(spark, sf_dir):
     df = policies(spark, sf_dir, with_index=False)
     return (Q.outlier_profile(df)
             .select("batch_id", "col_ord", "column", "total_rows", "outliers",
-                    r6("lower_bound").alias("lower_bound"), r6("upper_bound").alias("upper_bound"),
+                    # fences of 6-decimal data have 7 decimals: round past them (no ties)
+                    F.round("lower_bound", 8).alias("lower_bound"), F.round("upper_bound", 8).alias("upper_bound"),
                     r6("outlier_ratio").alias("outlier_ratio")))
 
 
