@@ -139,8 +139,9 @@ def knn_predict(train: DataFrame, queries: DataFrame, k: int = 5, id_col: str =
        distance to the pivot) and size.
     2. Every query first takes the nearest cells whose sizes add up to k:
        their k-th smallest distance ``tau`` bounds the answer.
-    3. A cell can hold a neighbour only if dist(q, pivot) - radius <= tau
-       (triangle inequality); only those (query, cell) pairs are joined.
+    3. A cell can hold a neighbour only if dist(q, pivot) - radius <= tau,
+       and a member t only if |dist(q, pivot) - dist(t, pivot)| <= tau
+       (triangle inequality); the distance kernel runs on the survivors.
     4. Top-k per query is ``row_number() <= k``; Spark applies the group
        limit map-side, so a query never gathers all its candidates.
 
@@ -178,7 +179,11 @@ def knn_predict(train: DataFrame, queries: DataFrame, k: int = 5, id_col: str =
                .where(F.col("_before") < cover).select("_qid", "_pid"))
 
     def dists(pairs):
-        d = pairs.join(cells.select("_pid", "_tid", "_tv", "_y"), "_pid")
+        d = pairs.join(cells.select("_pid", "_tid", "_tv", "_y", F.col("_d").alias("_td")), "_pid")
+        if "_tau" in pairs.columns:
+            # member bound: |d(q, p) - d(t, p)| <= d(q, t), so members farther
+            # than tau from the query's ring around the pivot are skipped
+            d = d.where(F.abs(F.col("_qd") - F.col("_td")) <= F.col("_tau") + F.lit(1e-9))
         if exclude_self:
             d = d.where(F.col("_tid") != F.col("_qid"))
         return (d.join(q, "_qid")
@@ -192,7 +197,7 @@ def knn_predict(train: DataFrame, queries: DataFrame, k: int = 5, id_col: str =
     tau = top_k(dists(first)).groupBy("_qid").agg(F.max("_dist").alias("_tau"))
     # 3. cells that may hold a neighbour
     cand = (qp.join(tau, "_qid").where(F.col("_qd") - F.col("_rad") <= F.col("_tau") + F.lit(1e-9))
-              .select("_qid", "_pid"))
+              .select("_qid", "_pid", "_qd", "_tau"))
     best = top_k(dists(cand))
     return (best.groupBy("_qid")
                 .agg(F.avg("_y").alias("prediction"),
