@@ -277,7 +277,8 @@ def prepare_for_serving(raw: DataFrame, prepared: Prepared, settings: Settings =
 
 # ---- E9 retrain preprocessing -------------------------------------------------------
 def prepare_retrain(old_raw: DataFrame, new_raw: DataFrame, prepared: Prepared,
-                    settings: Settings = DEFAULTS, variant: str = "A", year: int | None = None) -> DataFrame:
+                    settings: Settings = DEFAULTS, variant: str = "A", year: int | None = None,
+                    tie_cols=("batch_id", "row_index")) -> DataFrame:
     """An older raw table made compatible with the current training table:
     P12, P1 (text dates), P3-P9, P14 on both sides, P20 on the old side, then
     the stored imputation, E4, P15 and the variant's scaler."""
@@ -294,8 +295,8 @@ def prepare_retrain(old_raw: DataFrame, new_raw: DataFrame, prepared: Prepared,
     # features that depend on the rescaled columns are recomputed (Q10 fix)
     old = X.add_missing_features(old.drop("premium_per_seat", "insured_value_per_ton", "claim_ratio",
                                           "is_claim", "premium_log"), settings)
-    old = order_by_start(old, ("batch_id", "row_index") if "row_index" in old.columns else ("batch_id",),
-                         "_pos").drop("row_index").withColumnRenamed("_pos", "row_index")
+    # positions need a total order: start date, then ``tie_cols``
+    old = order_by_start(old, tuple(tie_cols), "_pos").drop("row_index").withColumnRenamed("_pos", "row_index")
     old = X.drop_columns(old, settings.drop_columns)
     old = apply_medians(old, prepared.medians, [c for c in prepared.numeric_cols if c in old.columns])
     old = apply_modes(old, prepared.modes, [c for c in prepared.categorical_cols if c in old.columns])
