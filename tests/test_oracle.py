@@ -12,7 +12,8 @@ NAMES = ["a1_null_ratios", "a3_outlier_profile", "a4_unique_ratios", "a5_quality
          "a7_describe", "a8_correlations", "o3_top_correlations", "a11_histogram", "a15_psi_clamp",
          "a15_psi_density", "a16_psi_categorical", "a17_drift", "w1_dedup", "w2_row_index", "o2_split",
          "s4_slice_rows", "s11_contiguous_batches", "e1_impute_median", "e3_dictionary", "e7_prepare_a",
-         "a20_inflation", "m4_gradient_step", "m5_knn", "t4_stream_profile"]
+         "a20_inflation", "m4_gradient_step", "m5_knn", "t4_stream_profile", "e8_serving_prep",
+         "e9_retrain_prep"]
 
 
 @pytest.fixture(scope="module")
