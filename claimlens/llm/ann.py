@@ -101,7 +101,7 @@ def _top(query, point, score, k):
     return query[keep], point[keep], score[keep]
 
 
-def search(rows: DataFrame, is_query, k: int = 20, tables: int = 12, probes: int = 8) -> DataFrame:
+def search(rows: DataFrame, is_query, k: int = 20, tables: int = 12, probes: int = 12) -> DataFrame:
     """(query_id, rank, vec_id, score) of the ``k`` nearest rows of each query.
 
     ``rows``: (vec_id long, embedding array of floats); ``is_query``: condition on

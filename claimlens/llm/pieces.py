@@ -100,8 +100,7 @@ class Pieces:
             found.make_automaton()
             bytes_ = {int(self.text[k][3:5], 16): k for k, t in enumerate(self.kind) if t == BYTE}
             unk = next((k for k, t in enumerate(self.kind) if t == UNKNOWN), 0)
-            # segments can be split on their own if no piece reaches across their ends
-            split = not any(_ACROSS.search(self.text[k]) for k in used)
+            split = _segments([self.text[k] for k in used])
             self.single = frozenset(self.text[k] for k in used if len(self.text[k]) == 1)
             self.built = found, bytes_, unk, low - PENALTY, split
         return self.built
@@ -158,34 +157,53 @@ def viterbi(model: Pieces, segment: str) -> list[int]:
     return out[::-1]
 
 
-_LETTER, _OTHER = "[^\\W\\d_]", f"(?![{SPACE}\n\uffff])[\\W\\d_]"
-#: Segments end before a space mark, around line ends and escapes, and after letters.
-_SEGMENTS = re.compile(f"{SPACE}*(?:{_OTHER})*{_LETTER}+|{SPACE}*(?:{_OTHER})+|{SPACE}+|\n|\uffff.")
-#: What no piece may hold for that split to be exact.
-_ACROSS = re.compile(f"[^{SPACE}]{SPACE}|\n|{_LETTER}(?!{_LETTER}|$)")
-
-
-def encode(model: Pieces, text: str) -> list[int]:
-    """Ids of a whole text. The model remembers segments between calls."""
+#: Letters (Latin, Greek, Cyrillic) after whose runs texts may be split.
+_LETTER = "[A-Za-zÀ-ÖØ-öø-ɏͰ-ϿЀ-ӿ]"
+
+
+def _segments(used: list[str]):
+    """Pattern of the stretches that can be split on their own, or None if pieces
+    reach across words or lines. Stretches end before a space mark, around line ends
+    and escapes, and after a run of letters (with the marks that pieces hold after
+    letters): no piece reaches across these ends."""
+    if any(re.search(f"[^{SPACE}]{SPACE}|\n", t) for t in used):
+        return None
+    letter = re.compile(_LETTER)
+    joins: set[str] = set()
+    while True:
+        more = {b for t in used for a, b in zip(t, t[1:], strict=False)
+                if (a in joins or letter.match(a)) and b not in joins and not letter.match(b)}
+        if not more:
+            break
+        joins |= more
+    run = f"{_LETTER}+" + (f"(?:[{''.join(map(re.escape, sorted(joins)))}]{_LETTER}*)*" if joins else "")
+    other = f"[^{SPACE}\n\uffff{_LETTER[1:]}"
+    return re.compile(f"{SPACE}*{other}*{run}|{SPACE}*{other}+|{SPACE}+|\n|\uffff.")
+
+
+def encode(model: Pieces, text: str) -> np.ndarray:
+    """Ids of a whole text. The model remembers segments between calls, as bytes
+    that are joined and that the garbage collector needn't walk."""
     split = model.build()[4]
     known = model.known
     line = normalise(model, text)
-    # where pieces reach across these ends, what lies between two escapes is one segment
-    parts = _SEGMENTS.findall(line) if split else [p for p in re.split("(\uffff.)", line) if p]
-    out: list[int] = []
-    for part in parts:
-        ids = known.get(part)
-        if ids is None:
-            if part[0] == "\uffff":
-                ids = _spell(model, SPACE if part[1] == "0" else "\uffff")
-            else:
-                ids = viterbi(model, part)
-            if len(part) <= 64:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                known[part] = ids
-        out += ids
-    return out
+
+    def fresh(part: str) -> bytes:
+        if part[0] == "\uffff":
+            ids = _spell(model, SPACE if part[1] == "0" else "\uffff")
+        else:
+            ids = viterbi(model, part)
+        coded = np.array(ids, np.int32).tobytes()
+        if len(part) <= 64:
+            if len(known) >= REMEMBERED:
+                known.clear()
+            known[part] = coded
+        return coded
+
+    # where pieces reach across words, what lies between two escapes is one segment
+    parts = split.findall(line) if split else [p for p in re.split("(\uffff.)", line) if p]
+    get = known.get
+    return np.frombuffer(b"".join([get(p) or fresh(p) for p in parts]), np.int32)
 
 
 def byte_table(model: Pieces) -> list[bytes]:
@@ -223,7 +241,7 @@ def tokenise(docs: DataFrame, path: str = MODEL) -> DataFrame:
             for at in range(0, whole.num_rows, 500):
                 b = whole.slice(at, 500)
                 texts = b.column(1).to_pylist()
-                ids = [None if t is None else np.array(encode(model, t), np.int32) for t in texts]
+                ids = [None if t is None else encode(model, t) for t in texts]
                 back = [None if i is None else decode(model, i.tolist(), table) for i in ids]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([0 if i is None else len(i) for i in ids], pa.int64()),
