@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 # Formats tried, in order, by the mixed parser (Python's
 # "%d-%b-%y" first, then ISO, then month-first numeric forms as pandas reads
-# "03-04-14" month first).
-MIXED_FORMATS = ("d-MMM-yy", "d-MMM-yyyy", "yyyy-MM-dd", "yyyy/MM/dd", "MM-dd-yy", "MM/dd/yy",
-                 "MM-dd-yyyy", "MM/dd/yyyy", "d MMM yyyy", "yyyyMMdd")
+# "03-04-14" month first, then day-first ones for a first number above 12).
+MIXED_FORMATS = ("d-MMM-yy", "d-MMM-yyyy", "yyyy-M-d", "yyyy/M/d", "M-d-yy", "M/d/yy",
+                 "M-d-yyyy", "M/d/yyyy", "d-M-yy", "d/M/yy", "d-M-yyyy", "d/M/yyyy", "d MMM yyyy", "yyyyMMdd")
+# A time of day after a date, which the date ignores.
+TIME_OF_DAY = r"[T ]+\d{1,2}:\d{2}.*$"
 
 # Python's %y maps 69-99 to 19xx and 00-68 to 20xx; Spark's "yy" maps all to 20xx.
 TWO_DIGIT_PIVOT = 2069
@@ -32,8 +34,9 @@ def parse_policy_date(col, fmt: str = "d-MMM-yy") -> Column:
 
 
 def parse_mixed_date(col, formats=MIXED_FORMATS) -> Column:
-    """Each value by the first of ``formats`` that parses it."""
-    return F.coalesce(*[parse_policy_date(col, f) for f in formats])
+    """Each value by the first of ``formats`` that parses it; a time of day is cut off."""
+    day = F.trim(F.regexp_replace(_c(col), TIME_OF_DAY, ""))
+    return F.coalesce(*[parse_policy_date(day, f) for f in formats])
 
 
 def format_policy_date(col) -> Column:

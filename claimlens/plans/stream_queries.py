@@ -18,13 +18,13 @@ _SOURCES: dict = {}
 
 
 def _policy_files(spark, sf_dir):
-    """The policies view as a file source, one file per batch directory
+    """The policies view as a file source, two files and more per batch
     (written once per session; each stream keeps its own checkpoint)."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), "policies")
     if key not in _SOURCES:
         src = scratch_dir(spark, "policy_files")
         p = policies(spark, sf_dir, with_index=False)
-        p.repartition("batch_id").write.partitionBy("batch_id").parquet(src)
+        p.repartition(16, "batch_id", F.pmod(F.xxhash64("tie1", "tie2"), F.lit(2))).write.partitionBy("batch_id").parquet(src)
         _SOURCES[key] = src
     src = _SOURCES[key]
     return src, spark.read.parquet(src).schema
@@ -34,7 +34,7 @@ def _policy_files(spark, sf_dir):
 def t1_stream_ingest(spark, sf_dir):
     src, schema = _policy_files(spark, sf_dir)
     raw, meta, ckpt = (scratch_dir(spark, n) for n in ("raw", "meta", "ckpt"))
-    T.stream_ingest(spark, src, schema, raw, meta, ckpt, "policies")
+    T.stream_ingest(spark, src, schema, raw, meta, ckpt, "policies", files_per_batch=2)
     # a second run over the same checkpoint must add nothing
     T.stream_ingest(spark, src, schema, raw, meta, ckpt, "policies")
     return spark.read.parquet(raw).select("OBJECT_ID", "tie1", "tie2", "PREMIUM")
@@ -44,8 +44,7 @@ def t1_stream_ingest(spark, sf_dir):
 def t2_stream_quality(spark, sf_dir):
     src, schema = _policy_files(spark, sf_dir)
     out, ckpt = scratch_dir(spark, "quality_stream"), scratch_dir(spark, "ckpt")
-    T.stream_quality(spark, src, schema, out, ckpt)
-    return spark.read.parquet(out).drop("epoch")
+    return spark.read.parquet(T.stream_quality(spark, src, schema, out, ckpt, files_per_batch=6))
 
 
 @query("t2_stream_analyse", __import__("claimlens.plans.profile_queries", fromlist=["A17_SQL"]).A17_SQL)
@@ -53,7 +52,7 @@ def t2_stream_analyse(spark, sf_dir):
     """Per micro-batch analysis; the drift rows appended over all epochs equal the batch drift report."""
     src, schema = _policy_files(spark, sf_dir)
     root, ckpt = scratch_dir(spark, "analyse_stream"), scratch_dir(spark, "ckpt")
-    paths = T.stream_analyse(spark, src, schema, root, ckpt, order_cols=("tie1", "tie2", "tie3"))
+    paths = T.stream_analyse(spark, src, schema, root, ckpt, order_cols=("tie1", "tie2", "tie3"), files_per_batch=6)
     return spark.read.parquet(paths["drift"]).withColumn("psi", r6("psi"))
 
 

@@ -53,16 +53,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     a machine-local folder is not visible to other executors.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if d := sc.getCheckpointDir():      # set already; setting it again would nest a folder in it
+        return d.rstrip("/")
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         if not _is_local(spark):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="claimlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     sc.setCheckpointDir(d)
-    return d.rstrip("/")
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -74,8 +73,9 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
-def cut_lineage(df, spark: SparkSession | None = None):
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    spark = spark or df.sparkSession
-    checkpoint_root(spark)
-    return df.checkpoint(eager=True)
+def stored(df, name: str):
+    """Write to a new table in the shared folder and read it back: the lineage is
+    cut and a lost executor costs no recomputation."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,6 +8,7 @@ never rewrites files that readers may be reading.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,7 +35,7 @@ META_FIELDS = [f.name for f in METADATA_SCHEMA.fields if f.name != "batch_id"]
 
 
 # ---- S1 -------------------------------------------------------------------
-def read_policies(spark: SparkSession, paths, schema: T.StructType) -> DataFrame:
+def read_policies(spark: SparkSession, paths, schema: T.StructType, extra=()) -> DataFrame:
     """CSV with header; pandas' NA tokens become NULL; values are cast
     with ``try_cast`` to ``schema`` (bad values -> NULL, never an error).
 
@@ -46,19 +47,26 @@ def read_policies(spark: SparkSession, paths, schema: T.StructType) -> DataFrame
     na = F.array(*[F.lit(t) for t in PANDAS_NA_TOKENS])
 
     def clean(f):
-        c = F.when(F.array_contains(na, F.trim(F.col(f.name))), F.lit(None)).otherwise(F.col(f.name))
+        c = F.when(F.array_contains(na, F.col(f.name)), F.lit(None)).otherwise(F.col(f.name))
         if isinstance(f.dataType, T.StringType):
             return c.alias(f.name)
-        return c.try_cast(f.dataType).alias(f.name)
-    return raw.select(*[clean(f) for f in schema.fields])
+        c = F.trim(c).try_cast(f.dataType)
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):   # other spellings of NaN
+            c = F.when(~F.isnan(c), c)
+        return c.alias(f.name)
+    return raw.select(*[clean(f) for f in schema.fields], *extra)
 
 
-def with_file_order(df: DataFrame, name: str = "row_index") -> DataFrame:
-    """Position in file order for a file source: (file path, offset in
-    file) from the hidden ``_metadata`` column and the row's scan order."""
-    keyed = df.select("*", F.col("_metadata.file_path").alias("_file"),
-                      F.monotonically_increasing_id().alias("_mono"))
-    return with_row_index(keyed, ["_file", "_mono"], name).drop("_file", "_mono")
+def read_ordered(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    """S1 and S2 for files: each CSV in file order, one after the other, with one
+    position across all of them."""
+    out = None
+    for k, path in enumerate(paths):
+        own = read_policies(spark, path, schema, extra=(F.col("_metadata.file_path").alias("_file"),
+                                                        F.col("_metadata.file_block_start").alias("_at")))
+        own = own.withColumn("source_ord", F.lit(k)).withColumn("_mono", F.monotonically_increasing_id())
+        out = own if out is None else out.unionByName(own)
+    return with_row_index(out, ["source_ord", "_file", "_at", "_mono"]).drop("_file", "_at", "_mono", "source_ord")
 
 
 # ---- S2, S3 ----------------------------------------------------------------
@@ -114,32 +122,33 @@ def upsert_metadata(meta: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 def contiguous_batches(table: DataFrame, batch_col: str = "batch_id") -> DataFrame:
-    """Batches 0, 1, 2, ... up to the first missing id (left semi join
-    against the small, gap-free id prefix)."""
-    ids = table.select(batch_col).distinct()
-    present = ids.where(F.col(batch_col) >= 0)
-    # the first gap is the smallest id k >= 0 with k-1 absent... i.e. the
-    # smallest present id + 1 that is not present; prefix = ids below it
-    nxt = present.select((F.col(batch_col) + 1).alias(batch_col))
-    gaps = nxt.join(present, batch_col, "left_anti")
-    first_gap = gaps.agg(F.min(batch_col)).scalar()
-    zero = present.where(F.col(batch_col) == 0).agg(F.count(F.lit(1))).scalar()
-    keep = present.where((zero > 0) & (F.col(batch_col) < first_gap))
-    return table.join(F.broadcast(keep), batch_col, "left_semi")
+    """Batches 0, 1, 2, ... up to the first missing id: a range filter whose
+    upper end is a scalar subquery over the ids, so nothing is joined."""
+    present = table.select(batch_col).distinct().where(F.col(batch_col) >= 0)
+    nxt = present.select((F.col(batch_col) + 1).alias(batch_col)).unionByName(table.sparkSession.sql(f"SELECT 0 AS {batch_col}"))
+    first_gap = nxt.join(present, batch_col, "left_anti").agg(F.min(batch_col)).scalar()
+    return table.where((F.col(batch_col) >= 0) & (F.col(batch_col) < first_gap))
 
 
 # ---- S5, S6, S8, S10 --------------------------------------------------------
-def write_batches(df: DataFrame, path: str, batch_col: str = "batch_id") -> None:
-    """Insert or replace whole batches (dynamic partition overwrite)."""
+def write_batches(df: DataFrame, path: str, batch_col: str = "batch_id", cluster: bool = True) -> None:
+    """Insert or replace whole batches (dynamic partition overwrite). Rows are
+    clustered by batch first, so a batch is a file or few, not one for each task;
+    AQE splits a batch that is large."""
+    if cluster:
+        df = df.hint("rebalance", F.col(batch_col))
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(batch_col).parquet(path))
 
 
 def read_batch_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table, or None where there is none yet. Any other error is an error."""
     try:
         return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - absent table
-        return None
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def read_batch(spark: SparkSession, path: str, batch_id: int, batch_col: str = "batch_id") -> DataFrame:
@@ -168,23 +177,30 @@ def read_metadata(spark: SparkSession, meta_path: str) -> DataFrame:
 
 
 def ingest(spark: SparkSession, rows: DataFrame, raw_path: str, meta_path: str, sources_name: str,
-           batch_size: int, version: str = "1.0.0", index_col: str = "row_index") -> int:
-    """Resume at the stored offset of ``sources_name``, cut the rest into
-    batches numbered after the last stored id, write data then metadata.
+           batch_size: int, version: str = "1.0.0", index_col: str = "row_index", chunk: int | None = None) -> int:
+    """Resume at the stored offset of ``sources_name`` and cut the rest into
+    batches numbered after the last recorded id.
+
+    Ids and offset both come from the metadata, which is written after the data: a
+    run that dies between the two is repeated over the same partitions. With
+    ``chunk``, so many batches are written and recorded at a time; the first chunk
+    that fails ends the run, and the next run resumes there.
 
     Returns the number of batches written; a re-run writes none.
     """
     meta = read_metadata(spark, meta_path)
     offset = next_source_offset(meta, sources_name).first()[0]
-    stored = read_batch_table(spark, raw_path)
-    start_batch = next_batch_id(stored).first()[0] if stored is not None else 0
-    todo = assign_batches(rows, batch_size, start_row=offset, start_batch=start_batch, index_col=index_col)
-    n = todo.select("batch_id").distinct().count()
-    if n == 0:
-        return 0
-    write_batches(todo, raw_path)
-    append_metadata(spark, meta_path, batch_metadata(todo, sources_name, version, index_col))
-    return n
+    start = next_batch_id(meta).first()[0]
+    last = rows.agg(F.max(index_col)).first()[0]
+    total = 0 if last is None or last < offset else -(-(last + 1 - offset) // batch_size)
+    todo = assign_batches(rows, batch_size, start_row=offset, start_batch=start, index_col=index_col)
+    for lo in range(start, start + total, chunk or max(total, 1)):
+        hi = min(lo + (chunk or total), start + total)
+        own = (F.col("batch_id") >= lo) & (F.col("batch_id") < hi)
+        write_batches(todo.where(own), raw_path)
+        written = spark.read.parquet(raw_path).where(own)   # prunes to this chunk's partitions
+        append_metadata(spark, meta_path, batch_metadata(written, sources_name, version, index_col))
+    return total
 
 
 # ---- S12 ------------------------------------------------------------------------
@@ -197,10 +213,11 @@ def load_cleaned(spark: SparkSession, cleaned_table: str, cleaned_csv: str | Non
         return contiguous_batches(t)
     if cleaned_csv:
         try:
-            return spark.read.schema(csv_schema).option("header", True).csv(cleaned_csv) if csv_schema \
+            return read_policies(spark, cleaned_csv, csv_schema) if csv_schema \
                 else spark.read.option("header", True).csv(cleaned_csv)
-        except Exception:  # noqa: BLE001 - absent file
-            pass
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
     last = raw_paths[-1]
     if last.endswith(".csv") and csv_schema is not None:
         return read_policies(spark, last, csv_schema)

@@ -5,8 +5,9 @@
   overwrite, so a replayed epoch replaces itself (idempotent, at-least-once
   source + idempotent sink). The checkpoint replaces the reference's
   "next offset" query.
-* T2 ``stream_quality``: the batch quality operators run on each arriving
-  micro-batch inside ``foreachBatch`` and append their rows.
+* T2 ``stream_quality``, ``stream_analyse``: the batch operators run inside
+  ``foreachBatch`` on all that arrived so far of the batches an epoch touches;
+  outputs are replaced batch by batch.
 * T3 ``stream_dedup``: keep-first per key within an event-time watermark;
   state is bounded by the watermark.
 * T4 ``stream_profile``: count, nulls and mean per event-time window and
@@ -15,6 +16,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -40,7 +42,9 @@ def _checkpoint_guard(spark: SparkSession, checkpoint: str, table_path: str) ->
     session can read (the offsets log is plain text files)."""
     try:
         has_ckpt = spark.read.text(f"{checkpoint}/offsets").limit(1).count() > 0
-    except Exception:  # noqa: BLE001 - no offsets log yet
+    except AnalysisException as e:   # no offsets log yet
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         has_ckpt = False
     table = SB.read_batch_table(spark, table_path)
     if not has_ckpt and table is not None and table.limit(1).count() > 0:
@@ -56,7 +60,7 @@ def stream_ingest(spark: SparkSession, source_path: str, schema: StructType, raw
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         b = batch.withColumn("batch_id", F.lit(int(epoch_id)))
-        SB.write_batches(b, raw_path)
+        SB.write_batches(b, raw_path, cluster=False)   # one id: clustering would make one task of it
         meta = (b.agg(F.count(F.lit(1)).alias("size"))
                  .select(F.lit(int(epoch_id)).cast("int").alias("batch_id"), F.current_timestamp().alias("ts"),
                          F.lit(sources_name).alias("sources"), F.lit(None).cast("long").alias("index_in_source"),
@@ -70,20 +74,50 @@ def stream_ingest(spark: SparkSession, source_path: str, schema: StructType, raw
     return q
 
 
-def stream_quality(spark: SparkSession, source_path: str, schema: StructType, out_path: str, checkpoint: str,
+def _stage(batch: DataFrame, epoch_id: int, path: str) -> tuple[DataFrame, DataFrame]:
+    """Keep the micro-batch under (batch_id, epoch), so a replayed epoch replaces
+    itself, and return the whole of what arrived so far of every batch it touches,
+    with the touched ids. A batch may come in any number of files and epochs."""
+    spark = batch.sparkSession
+    batch.withColumn("epoch", F.lit(int(epoch_id))).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("batch_id", "epoch").parquet(path)
+    stored = spark.read.parquet(path)
+    touched = stored.where(F.col("epoch") == int(epoch_id)).select("batch_id").distinct()
+    whole = stored.join(touched, "batch_id", "left_semi").drop("epoch")
+    return whole.select(*batch.columns), touched
+
+
+def _replace(df: DataFrame, path: str) -> None:
+    """Rows of whole batches: what was stored for these batches before is replaced."""
+    SB.write_batches(df, path)
+
+
+def stream_quality(spark: SparkSession, source_path: str, schema: StructType, root: str, checkpoint: str,
                    settings: Settings = DEFAULTS, fmt: str = "parquet", files_per_batch: int = 1):
-    """Per arriving micro-batch, the quality summary of the batches it
-    holds (grouped by ``batch_id``), appended to ``out_path``."""
+    """The quality summary of every batch, kept up to date as its files arrive
+    (one row per ``batch_id`` below ``root``/quality_summary, whose path is returned)."""
     stream = _file_stream(spark, source_path, schema, fmt, files_per_batch)
+    out = f"{root}/quality_summary"
 
     def analyse(batch: DataFrame, epoch_id: int) -> None:
-        quality_summary(batch, settings=settings).withColumn("epoch", F.lit(int(epoch_id))) \
-            .write.mode("append").parquet(out_path)
+        whole, _ = _stage(batch, epoch_id, f"{root}/arrived")
+        _replace(quality_summary(whole, settings=settings), out)
 
     q = (stream.writeStream.foreachBatch(analyse).option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())
     q.awaitTermination()
-    return q
+    return out
+
+
+def _reference(spark: SparkSession, root: str):
+    """The newest drift reference both of whose tables are there, else None."""
+    bins, shares = (SB.read_batch_table(spark, f"{root}/{n}") for n in ("ref_bins", "ref_shares"))
+    if bins is None or shares is None:
+        return None
+    newest = shares.select("epoch").intersect(bins.select("epoch")).agg(F.max("epoch")).first()[0]
+    if newest is None:
+        return None
+    return tuple(t.where(F.col("epoch") == newest).drop("epoch") for t in (bins, shares))
 
 
 def stream_analyse(spark: SparkSession, source_path: str, schema: StructType, root: str, checkpoint: str,
@@ -92,35 +126,42 @@ def stream_analyse(spark: SparkSession, source_path: str, schema: StructType, ro
     """The analysis loop per arriving micro-batch: quality summary,
     keep-first dedup, features, cleaned batch table, and drift.
 
-    The drift reference is fitted once all reference batches are stored and
-    kept as a table; drift is then computed for every stored batch after the
-    reference window that has none yet, so the result does not depend on
-    the order in which batches arrive."""
+    Every output holds whole batches and is replaced batch by batch, from all that
+    arrived of a batch so far; so a batch may come in several files, and a replayed
+    epoch changes nothing. The drift reference is fitted once all reference batches
+    are stored, and again whenever one of them grows; drift is computed for the
+    touched batches and for those that wait for a reference, so the result does not
+    depend on the order in which files arrive."""
     from claimlens.functions.features import create_features
     from claimlens.operators.dedup import dedup_first
     from claimlens.operators.drift import detect_drift, fit_reference
     stream = _file_stream(spark, source_path, schema, fmt, files_per_batch)
-    paths = {n: f"{root}/{n}" for n in ("quality_summary", "cleaned_batches", "ref_bins", "ref_shares", "drift")}
+    paths = {n: f"{root}/{n}" for n in ("arrived", "quality_summary", "cleaned_batches", "ref_bins", "ref_shares", "drift")}
+    first_scored = settings.reference_batches
 
     def analyse(batch: DataFrame, epoch_id: int) -> None:
-        quality_summary(batch, settings=settings).write.mode("append").parquet(paths["quality_summary"])
-        clean = create_features(dedup_first(batch, list(settings.dedup_keys), tuple(order_cols)), settings)
-        SB.write_batches(clean, paths["cleaned_batches"])
+        whole, touched = _stage(batch, epoch_id, paths["arrived"])
+        _replace(quality_summary(whole, settings=settings), paths["quality_summary"])
+        clean = create_features(dedup_first(whole, list(settings.dedup_keys), tuple(order_cols)), settings)
+        _replace(clean, paths["cleaned_batches"])
         stored = spark.read.parquet(paths["cleaned_batches"])
-        ref_bins = SB.read_batch_table(spark, paths["ref_bins"])
-        if ref_bins is None:
-            have = stored.where(F.col("batch_id") < settings.reference_batches).select("batch_id").distinct().count()
-            if have < settings.reference_batches:
+        grown = touched.where(F.col("batch_id") < first_scored).limit(1).count() > 0
+        if grown:
+            have = stored.where(F.col("batch_id") < first_scored).select("batch_id").distinct().count()
+            if have < first_scored:
                 return
-            bins, shares = fit_reference(stored, settings)
-            bins.write.parquet(paths["ref_bins"])
-            shares.write.parquet(paths["ref_shares"])
-        ref = (spark.read.parquet(paths["ref_bins"]), spark.read.parquet(paths["ref_shares"]))
+            for table, name in zip(fit_reference(stored, settings), ("ref_bins", "ref_shares"), strict=True):
+                table.withColumn("epoch", F.lit(int(epoch_id))).write.mode("overwrite").option(
+                    "partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(paths[name])
+        ref = _reference(spark, root)
+        if ref is None:
+            return
+        todo = stored.where(F.col("batch_id") >= first_scored)
         done = SB.read_batch_table(spark, paths["drift"])
-        todo = stored.where(F.col("batch_id") >= settings.reference_batches)
-        if done is not None:
-            todo = todo.join(done.select("batch_id").distinct(), "batch_id", "left_anti")
-        detect_drift(todo, settings, reference=ref).write.mode("append").parquet(paths["drift"])
+        if done is not None and not grown:
+            waiting = done.select("batch_id").distinct().join(touched, "batch_id", "left_anti")
+            todo = todo.join(waiting, "batch_id", "left_anti")
+        _replace(detect_drift(todo, settings, reference=ref), paths["drift"])
 
     q = (stream.writeStream.foreachBatch(analyse).option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())
