@@ -4,23 +4,22 @@
   histogram / normal-equation fits);
 * the incremental linear update (M4) is a gradient step written as one
   Catalyst aggregate over all coefficients;
-* exact k-nearest neighbours (M5) is a pruned join, see ``knn_predict``.
+* exact k-nearest neighbours (M5): ``operators.neighbours``.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import warnings
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
-
+from pyspark.errors import AnalysisException
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import (DecisionTreeRegressionModel, DecisionTreeRegressor, LinearRegression,
-                                   LinearRegressionModel)
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, LinearRegression
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimlens.operators.neighbours import knn_predict
 from claimlens.settings import DEFAULTS, Settings
 
 LEAKY = ("claim_ratio", "is_claim")
@@ -47,13 +46,42 @@ def fit_tree(train: DataFrame, cols: list[str], settings: Settings = DEFAULTS, l
     return _fit_cached(est, assemble(train, cols).select("features", label))
 
 
-def fit_linear(train: DataFrame, cols: list[str], settings: Settings = DEFAULTS, label: str | None = None):
+@dataclass
+class LinearModel:
+    """Coefficients by column and the bias: d + 1 numbers, scored as one expression.
+    Exact fits (M3) and gradient steps (M4) give the same kind of model."""
+
+    weights: dict[str, float]
+    bias: float
+
+    def prediction(self):
+        p = F.lit(float(self.bias))
+        for c, w in self.weights.items():
+            p = p + F.lit(float(w)) * F.col(c)
+        return p
+
+    def save(self, spark, path: str) -> None:
+        rows = [(k, float(v)) for k, v in {**self.weights, BIAS: self.bias}.items()]
+        spark.createDataFrame(rows, "term string, weight double").coalesce(1).write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark, path: str) -> LinearModel:
+        w = {r["term"]: r["weight"] for r in spark.read.parquet(path).collect()}
+        return cls({k: v for k, v in w.items() if k != BIAS}, w[BIAS])
+
+
+BIAS = "__bias__"
+L2 = 1e-4
+
+
+def fit_linear(train: DataFrame, cols: list[str], settings: Settings = DEFAULTS, label: str | None = None) -> LinearModel:
     """M3: squared loss with a small L2 penalty (the SGD objective), solved
     exactly: normal equations for few features (one distributed pass)."""
     label = label or settings.target
     est = LinearRegression(featuresCol="features", labelCol=label, maxIter=settings.sgd_max_iter,
-                           regParam=1e-4, elasticNetParam=0.0, standardization=False)
-    return _fit_cached(est, assemble(train, cols).select("features", label))
+                           regParam=L2, elasticNetParam=0.0, standardization=False)
+    m = _fit_cached(est, assemble(train, cols).select("features", label))
+    return LinearModel(dict(zip(cols, map(float, m.coefficients), strict=True)), float(m.intercept))
 
 
 def _fit_cached(est, data: DataFrame):
@@ -86,123 +114,13 @@ def gradient_step(train: DataFrame, cols: list[str], weights: dict, bias: float,
     return g.select(F.inline(F.array(*items)))
 
 
-def partial_fit(model_weights: dict, bias: float, train: DataFrame, cols: list[str], lr: float = 0.01,
-                alpha: float = 1e-4, label: str = "CLAIM_PAID"):
-    """Continue a saved linear model with one pass over new rows (retrain).
-    Returns (weights, bias) as plain numbers (d + 1 values)."""
-    rows = gradient_step(train, cols, model_weights, bias, lr, alpha, label).collect()
+def partial_fit(model: LinearModel, train: DataFrame, cols: list[str], lr: float = 0.01,
+                alpha: float = L2, label: str = "CLAIM_PAID") -> LinearModel:
+    """Continue a saved linear model with one pass over new rows (retrain)."""
+    rows = gradient_step(train, cols, model.weights, model.bias, lr, alpha, label).collect()
     d = {r["term"]: r["weight"] for r in rows}
-    b = d.pop("__bias__")
-    return d, b
-
-
-# ---- M5 --------------------------------------------------------------------------
-def _pair_sq_dist():
-    """Squared Euclidean distance of two array columns, row by row, on Arrow
-    batches with NumPy (double precision)."""
-
-    @F.pandas_udf("double")
-    def sq_dist(a: pd.Series, b: pd.Series) -> pd.Series:
-        if len(a) == 0:
-            return pd.Series([], dtype="float64")
-        x = np.stack(a.to_numpy()).astype(np.float64)
-        y = np.stack(b.to_numpy()).astype(np.float64)
-        d = x - y
-        return pd.Series(np.einsum("ij,ij->i", d, d))
-    return sq_dist
-
-
-def _pivot_dist(pivots_matrix):
-    """Distances of each vector to every pivot (the pivot matrix is the
-    fitted index: bounded, shipped with the function)."""
-    piv = np.asarray(pivots_matrix, dtype=np.float64)
-
-    @F.pandas_udf("array<double>")
-    def to_pivots(v: pd.Series) -> pd.Series:
-        if len(v) == 0:
-            return pd.Series([], dtype=object)
-        x = np.stack(v.to_numpy()).astype(np.float64)
-        d2 = (x * x).sum(1)[:, None] - 2.0 * x @ piv.T + (piv * piv).sum(1)[None, :]
-        return pd.Series(list(np.sqrt(np.maximum(d2, 0.0))))
-    return to_pivots
-
-
-def knn_predict(train: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "id", vec: str = "vec",
-                label: str = "label", qid: str = "qid", pivots: int | None = None,
-                exclude_self: bool = False) -> DataFrame:
-    """M5: exact k-nearest-neighbour regression (Euclidean, uniform weights,
-    ties to the lower train id) without comparing every pair.
-
-    1. ``pivots`` train vectors (lowest hash of the id) are the index of the
-       model: a bounded set held as literals. Each train row goes to the
-       cell of its nearest pivot; a cell keeps its radius (largest member
-       distance to the pivot) and size.
-    2. Every query first takes the nearest cells whose sizes add up to k:
-       their k-th smallest distance ``tau`` bounds the answer.
-    3. A cell can hold a neighbour only if dist(q, pivot) - radius <= tau,
-       and a member t only if |dist(q, pivot) - dist(t, pivot)| <= tau
-       (triangle inequality); the distance kernel runs on the survivors.
-    4. Top-k per query is ``row_number() <= k``; Spark applies the group
-       limit map-side, so a query never gathers all its candidates.
-
-    ``exclude_self`` (leave-one-out: queries are train rows) drops the pair
-    of a row with itself.
-
-    Returns ``qid, prediction, neighbours`` (sorted train ids).
-    """
-    t = train.select(F.col(id_col).alias("_tid"), F.col(vec).alias("_tv"), F.col(label).cast("double").alias("_y"))
-    q = queries.select(F.col(qid).alias("_qid"), F.col(vec).alias("_qv"))
-    if pivots is None:       # about sqrt(n) cells, bounded
-        pivots = int(min(256, max(16, t.count() ** 0.5)))
-    piv_rows = (t.withColumn("_h", F.xxhash64("_tid")).orderBy("_h", "_tid").limit(pivots)
-                 .select("_tv").collect())
-    pivot_udf = _pivot_dist([list(r[0]) for r in piv_rows])
-    sq_dist = _pair_sq_dist()
-
-    def to_pivots(v: str):
-        return pivot_udf(F.col(v))
-
-    # 1. train rows -> nearest pivot (lowest index on ties)
-    cells = (t.withColumn("_pd", to_pivots("_tv"))
-              .withColumn("_d", F.array_min("_pd"))
-              .withColumn("_pid", F.array_position("_pd", F.col("_d")).cast("int"))
-              .drop("_pd"))
-    radius = cells.groupBy("_pid").agg(F.max("_d").alias("_rad"), F.count(F.lit(1)).alias("_size"))
-
-    # 2. query -> distance to every pivot, and the nearest cells covering k rows
-    qp = (q.select("_qid", F.posexplode(to_pivots("_qv")).alias("_pos", "_qd"))
-           .withColumn("_pid", (F.col("_pos") + 1).cast("int")).drop("_pos")
-           .join(F.broadcast(radius), "_pid"))           # one row per pivot
-    wq = Window.partitionBy("_qid").orderBy("_qd", "_pid").rowsBetween(Window.unboundedPreceding, -1)
-    cover = k + 1 if exclude_self else k
-    first = (qp.withColumn("_before", F.coalesce(F.sum("_size").over(wq), F.lit(0)))
-               .where(F.col("_before") < cover).select("_qid", "_pid"))
-
-    def dists(pairs):
-        d = pairs.join(cells.select("_pid", "_tid", "_tv", "_y", F.col("_d").alias("_td")), "_pid")
-        if "_tau" in pairs.columns:
-            # member bound: |d(q, p) - d(t, p)| <= d(q, t), so members farther
-            # than tau from the query's ring around the pivot are skipped
-            d = d.where(F.abs(F.col("_qd") - F.col("_td")) <= F.col("_tau") + F.lit(1e-9))
-        if exclude_self:
-            d = d.where(F.col("_tid") != F.col("_qid"))
-        return (d.join(q, "_qid")
-                     .withColumn("_d2", sq_dist("_qv", "_tv")).withColumn("_dist", F.sqrt("_d2"))
-                     .select("_qid", "_tid", "_y", "_d2", "_dist"))
-
-    def top_k(d):
-        w = Window.partitionBy("_qid").orderBy("_d2", "_tid")
-        return d.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k)
-
-    tau = top_k(dists(first)).groupBy("_qid").agg(F.max("_dist").alias("_tau"))
-    # 3. cells that may hold a neighbour
-    cand = (qp.join(tau, "_qid").where(F.col("_qd") - F.col("_rad") <= F.col("_tau") + F.lit(1e-9))
-              .select("_qid", "_pid", "_qd", "_tau"))
-    best = top_k(dists(cand))
-    return (best.groupBy("_qid")
-                .agg(F.avg("_y").alias("prediction"),
-                     F.sort_array(F.collect_list("_tid")).alias("neighbours"))
-                .withColumnRenamed("_qid", qid))
+    b = d.pop(BIAS)
+    return LinearModel(d, b)
 
 
 # ---- A19, O5, O6 -----------------------------------------------------------------
@@ -230,6 +148,10 @@ def latest_versions(registry: DataFrame) -> DataFrame:
 
 
 # ---- M6-M9 -----------------------------------------------------------------------
+KINDS = ("decision_tree", "sgd", "knn")
+REGISTRY = "name string, variant string, version string, path string, split_idx long"
+
+
 @dataclass
 class Trained:
     name: str
@@ -237,75 +159,104 @@ class Trained:
     version: str
     path: str
     split_idx: int
-    model: object
+    model: object = None
 
 
 def version_stamp() -> str:
     return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
 
 
-def predict_with(model_kind: str, model, train: DataFrame | None, data: DataFrame, cols: list[str],
-                 settings: Settings = DEFAULTS) -> DataFrame:
-    """Uniform prediction: ``row_index, prediction`` for any of the three kinds."""
-    if model_kind == "knn":
-        tr = train.select(F.col("row_index").alias("id"), F.array(*[F.col(c) for c in cols]).alias("vec"),
-                          F.col(settings.target).alias("label"))
-        qs = data.select(F.col("row_index").alias("qid"), F.array(*[F.col(c) for c in cols]).alias("vec"))
-        return knn_predict(tr, qs, settings.knn_neighbours, "id", "vec", "label", "qid").select(
-            F.col("qid").alias("row_index"), "prediction")
-    return model.transform(assemble(data, cols)).select("row_index", "prediction")
+def predictions(kind: str, model, data: DataFrame, cols: list[str], settings: Settings = DEFAULTS) -> DataFrame:
+    """``data`` with a ``prediction`` column. Tree and linear models are projections
+    of the row; the neighbour model is its stored training table, joined on ``row_index``."""
+    if kind == "sgd":
+        return data.withColumn("prediction", model.prediction())
+    if kind == "decision_tree":
+        keep = data.columns
+        return model.transform(assemble(data, cols)).select(*keep, "prediction")
+    vec = F.array(*[F.col(c) for c in cols])
+    near = knn_predict(model.select(F.col("row_index").alias("id"), vec.alias("vec"), F.col(settings.target).alias("label")),
+                       data.select(F.col("row_index").alias("qid"), vec.alias("vec")), settings.knn_neighbours)
+    return data.join(near.select(F.col("qid").alias("row_index"), "prediction"), "row_index", "left")
+
+
+def fit_model(kind: str, train: DataFrame, cols: list[str], path: str, settings: Settings = DEFAULTS,
+              previous: LinearModel | None = None):
+    """Fit one of the three kinds and save it below ``path``; a linear model goes on
+    from ``previous`` where one is given."""
+    spark = train.sparkSession
+    if kind == "decision_tree":
+        m = fit_tree(train, cols, settings)
+        m.write().overwrite().save(path)
+    elif kind == "sgd":
+        m = fit_linear(train, cols, settings) if previous is None else partial_fit(previous, train, cols, label=settings.target)
+        m.save(spark, path)
+    else:       # the neighbour model is the training table itself, all rows
+        train.select("row_index", *cols, settings.target).write.mode("overwrite").parquet(path)
+        m = spark.read.parquet(path)
+    return m
+
+
+def load_model(kind: str, path: str, spark):
+    if kind == "decision_tree":
+        return DecisionTreeRegressionModel.load(path)
+    return LinearModel.load(spark, path) if kind == "sgd" else spark.read.parquet(path)
 
 
 def train_all(prepared_a: DataFrame, prepared_b: DataFrame, feature_cols: list[str], models_dir: str,
-              settings: Settings = DEFAULTS, kinds=("decision_tree", "sgd", "knn")) -> list[Trained]:
-    """M6: three models x two scalings on the time-ordered first 80 %."""
+              settings: Settings = DEFAULTS, kinds=KINDS) -> list[Trained]:
+    """M6: three models x two scalings on the time-ordered first 80 %; every saved
+    model is registered below ``models_dir``."""
     from claimlens.operators.positions import temporal_split
     version = version_stamp()
     out = []
     for variant, table in (("A", prepared_a), ("B", prepared_b)):
-        split = temporal_split(table, settings.train_split).persist()
-        split_idx = split.select("split_idx").first()[0]
+        split = temporal_split(table, settings.train_split)
+        first = split.select("split_idx").first()
         train = split.where("is_train")
         for kind in kinds:
             path = f"{models_dir}/{kind}_{variant}_{version}"
-            if kind == "decision_tree":
-                m = fit_tree(train, feature_cols, settings)
-                m.write().overwrite().save(path)
-            elif kind == "sgd":
-                m = fit_linear(train, feature_cols, settings)
-                m.write().overwrite().save(path)
-            else:
-                m = None       # the neighbour "model" is the training table itself
-                train.write.mode("overwrite").parquet(path)
-            out.append(Trained(kind, variant, version, path, split_idx, m))
+            m = fit_model(kind, train, feature_cols, path, settings)
+            out.append(Trained(kind, variant, version, path, first[0] if first else 0, m))
+    register(table.sparkSession, out, models_dir)
     return out
 
 
-def load_model(kind: str, path: str, spark=None):
-    if kind == "decision_tree":
-        return DecisionTreeRegressionModel.load(path)
-    if kind == "sgd":
-        return LinearRegressionModel.load(path)
-    return spark.read.parquet(path)
+def register(spark, trained: list[Trained], models_dir: str) -> None:
+    rows = [(t.name, t.variant, t.version, t.path, t.split_idx) for t in trained]
+    spark.createDataFrame(rows, REGISTRY).coalesce(1).write.mode("append").parquet(f"{models_dir}/registry")
+
+
+def registry(spark, models_dir: str) -> DataFrame:
+    return spark.read.schema(REGISTRY).parquet(f"{models_dir}/registry")
+
+
+def stored_versions(spark, models_dir: str) -> list[Trained]:
+    """Every registered version, oldest first (as many as models were trained)."""
+    return [Trained(**r.asDict()) for r in registry(spark, models_dir).orderBy("version", "variant", "name").collect()]
 
 
 def validate(trained: list[Trained], tables: dict, feature_cols: list[str], settings: Settings = DEFAULTS,
              spark=None) -> DataFrame:
     """M8: each version scored on the newest 20 % of its own variant (Q5 fix);
-    one grouped A19 over the union of all predictions."""
+    one grouped A19 over the union of all predictions. A version whose files are
+    gone is skipped with a warning; it is an error if none is left."""
     from claimlens.operators.positions import temporal_split
     preds = None
     for t in trained:
-        split = temporal_split(tables[t.variant], settings.train_split)
-        test, train = split.where("NOT is_train"), split.where("is_train")
+        test = temporal_split(tables[t.variant], settings.train_split).where("NOT is_train")
         try:
-            model = t.model if t.model is not None or t.name == "knn" else load_model(t.name, t.path, spark)
-            p = predict_with(t.name, model, train, test, feature_cols, settings)
-        except Exception:  # noqa: BLE001 - a version that cannot predict is skipped
+            model = t.model if t.model is not None else load_model(t.name, t.path, spark)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            warnings.warn(f"no files of model {t.path}", stacklevel=2)
             continue
-        p = (p.join(test.select("row_index", F.col(settings.target).alias("y")), "row_index")
-              .withColumn("model", F.lit(f"{t.name}_{t.variant}_{t.version}")))
+        p = predictions(t.name, model, test, feature_cols, settings).select(
+            F.col(settings.target).alias("y"), "prediction", F.lit(f"{t.name}_{t.variant}_{t.version}").alias("model"))
         preds = p if preds is None else preds.unionByName(p)
+    if preds is None:
+        raise RuntimeError("no stored model to validate")
     return regression_metrics(preds, "y", "prediction", ("model",))
 
 
