@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from claimlens.functions.features import drift_severity
 from claimlens.operators.profile import bin_counts
 from claimlens.operators.stats import unpivot
+from claimlens.session import stored
 from claimlens.settings import DEFAULTS, DRIFT_BINS, PSI_EPSILON, Settings
 from pyspark.sql.types import NumericType
 
@@ -71,7 +72,7 @@ def reference_moments(df: DataFrame, columns: list[str], settings: Settings = DE
 def category_distribution(df: DataFrame, columns: list[str], keys=(), name: str = "share") -> DataFrame:
     """Share of each value among the non-null values, per ``keys``."""
     long = unpivot(df, list(keys), columns, cast="string").where(F.col("value").isNotNull()).drop("col_ord")
-    counts = long.groupBy(*keys, "column", "value").agg(F.count(F.lit(1)).alias("count"))
+    counts = stored(long.groupBy(*keys, "column", "value").agg(F.count(F.lit(1)).alias("count")), "shares")
     totals = counts.groupBy(*keys, "column").agg(F.sum("count").alias("n"))
     return counts.join(totals, [*keys, "column"]).withColumn(name, F.col("count") / F.col("n"))
 
@@ -88,6 +89,7 @@ def psi_numeric(df: DataFrame, ref_hist: DataFrame, columns: list[str], mode: st
                 .join(edges, "column"))
     h = bin_counts(long, pairs, [batch_col, "column"], bins, clamp=(mode == "clamp"),
                    drop_outside=(mode != "clamp"))
+    h = stored(h, "binned")            # bins x columns x batches, read twice
     n = h.groupBy(batch_col, "column").agg(F.sum("count").alias("_n"))
     width = (F.col("hi") - F.col("lo")) / bins
     if mode == "density":
@@ -149,7 +151,7 @@ def detect_drift(df: DataFrame, settings: Settings = DEFAULTS, batch_col: str =
     if num:
         # the fitted reference (columns x bins rows) is read several times
         if ref_hist is None:
-            ref_hist = reference_histogram(df, num, settings=settings, batch_col=batch_col).persist()
+            ref_hist = stored(reference_histogram(df, num, settings=settings, batch_col=batch_col), "reference")
         parts.append(psi_numeric(df, ref_hist, num, mode, settings, batch_col).withColumn("kind", F.lit("numeric")))
     if cat:
         parts.append(psi_categorical(df, cat, settings, batch_col, ref=ref_dist)

@@ -1,73 +1,44 @@
 """Positional semantics without a global sort on one node.
 
-A contiguous 0-based position is computed with a two-level rank:
-
-1. count rows per value of the leading order column (few distinct values,
-   e.g. dates); a *hot* value holding more than ``hot_rows`` rows is split
-   further into order-preserving sub-ranges of the second order column, cut
-   at approximate quantiles (splitting never changes the result, only the
-   task sizes);
-2. a running sum over that small count table gives the rows before each
-   (value, sub-range);
-3. ``row_number()`` within (value, sub-range) + rows before = position.
-
-The only unpartitioned window runs over the small count table.
+A contiguous 0-based position is computed in two levels: rows are range
+partitioned and sorted by the whole order tuple (Spark samples the ranges, so
+they hold about equally many rows whatever the columns' types and however
+common a leading value is) and kept as a table with each row's partition and
+place in it; the rows before a partition are a running sum over one row per
+partition.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
 
-HOT_ROWS = 2_000_000       # rows of one leading value above which it is split
-HOT_SPLITS = 512           # sub-ranges of a hot value
-SPLIT_ACCURACY = 10_000
+from claimlens.session import stored
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def with_row_index(df: DataFrame, order_cols: list, name: str = "row_index",
-                   hot_rows: int = HOT_ROWS, hot_splits: int = HOT_SPLITS) -> DataFrame:
+def with_row_index(df: DataFrame, order_cols: list, name: str = "row_index") -> DataFrame:
     """Add ``name`` = 0-based position of the row in ascending ``order_cols``.
 
     ``order_cols`` must give a total order (ties make the position
-    non-deterministic) and contain no NULLs in the leading column (callers
-    coalesce missing values to a sentinel).
+    non-deterministic); NULLs come first. The sorted rows are written to the shared
+    folder once: the ranges are sampled anew by every execution, so place and
+    partition sizes must come from the same one.
     """
-    lead, rest = order_cols[0], list(order_cols[1:])
-    keyed = df.withColumn("_k1", _col(lead))
-
-    counts = keyed.groupBy("_k1").agg(F.count(F.lit(1)).alias("_n"))
-    split_col = rest[0] if rest and isinstance(rest[0], str) else None
-    can_split = (split_col is not None
-                 and isinstance(df.schema[split_col].dataType, NumericType))
-    hot = counts.where(F.col("_n") > hot_rows).select("_k1")
-    if can_split and hot.limit(1).count() > 0:
-        probs = [i / hot_splits for i in range(1, hot_splits)]
-        # hot values are at most total/hot_rows rows: a bounded broadcast
-        splits = (keyed.join(F.broadcast(hot), "_k1", "left_semi")
-                  .groupBy("_k1")
-                  .agg(F.percentile_approx(split_col, probs, SPLIT_ACCURACY).alias("_spl")))
-        v = F.col(split_col)
-        keyed = (keyed.join(F.broadcast(splits), "_k1", "left")
-                 .withColumn("_sub", F.coalesce(
-                     F.size(F.filter("_spl", lambda s: s < v)), F.lit(0)))
-                 .drop("_spl"))
-    else:
-        keyed = keyed.withColumn("_sub", F.lit(0))
-
-    sub_counts = keyed.groupBy("_k1", "_sub").agg(F.count(F.lit(1)).alias("_n"))
-    w_all = Window.orderBy("_k1", "_sub").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = sub_counts.select("_k1", "_sub", (F.sum("_n").over(w_all) - F.col("_n")).alias("_before"))
-
-    w = Window.partitionBy("_k1", "_sub").orderBy(*[_col(c) for c in rest] or [F.lit(1)])
-    out = (keyed.join(offsets, ["_k1", "_sub"])
-           .withColumn(name, (F.col("_before") + F.row_number().over(w) - 1).cast("long"))
-           .drop("_k1", "_sub", "_before"))
-    return out
+    order = [_col(c) for c in order_cols]
+    placed = (df.repartitionByRange(*order).sortWithinPartitions(*order)
+              .withColumn("_part", F.spark_partition_id())
+              .withColumn("_place", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)))
+    placed = stored(placed, "positions")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per shuffle partition
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return (placed.join(F.broadcast(offsets), "_part")
+            .withColumn(name, (F.col("_before") + F.col("_place")).cast("long")).drop("_part", "_place", "_before"))
 
 
 def slice_rows(df: DataFrame, start: int, n: int, index_col: str = "row_index") -> DataFrame:

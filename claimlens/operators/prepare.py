@@ -16,8 +16,9 @@ from pyspark.sql.types import NumericType, StringType
 
 from claimlens.functions import features as X
 from claimlens.functions.dates import parse_mixed_date, parse_policy_date, policy_year
-from claimlens.operators.positions import temporal_split, with_row_index
+from claimlens.operators.positions import with_row_index
 from claimlens.operators.stats import bounded_broadcast, group_quantiles, unpivot
+from claimlens.session import stored
 from claimlens.settings import BOOKKEEPING, DEFAULTS, Settings
 
 MISSING_DATE = "9999-12-31"
@@ -208,43 +209,60 @@ def _base(cleaned: DataFrame, settings: Settings, tie_cols) -> DataFrame:
     return X.drop_columns(df, settings.drop_columns)
 
 
-def prepare(cleaned: DataFrame, settings: Settings = DEFAULTS, tie_cols=("batch_id", "row_index"),
-            persist: bool = True) -> Prepared:
+def prepare(cleaned: DataFrame, settings: Settings = DEFAULTS, tie_cols=("batch_id", "row_index")) -> Prepared:
     """Cleaned batches -> scaled tables A (standard) and B (min-max) plus
-    every fitted parameter table. ``row_index`` is the time-order position."""
+    every fitted parameter table. ``row_index`` is the time-order position.
+
+    What several fits read lies in the shared folder: the positions' table, the
+    encoded rows, and each small parameter table. Nothing is cached."""
     t = settings.target
     base = _base(cleaned, settings, tie_cols)
-    if persist:        # read by every fit below; positions computed once
-        base = base.persist()
     num = [f.name for f in base.schema.fields
            if isinstance(f.dataType, NumericType) and f.name not in BOOKKEEPING and f.name != t]
     cat = [f.name for f in base.schema.fields
            if isinstance(f.dataType, StringType) and f.name not in BOOKKEEPING]
-    medians = fit_medians(base, num, settings)
-    modes = fit_modes(base, cat)
-    if persist:
-        medians, modes = medians.persist(), modes.persist()
+    medians = stored(fit_medians(base, num, settings), "medians")
+    modes = stored(fit_modes(base, cat), "modes")
     base = apply_modes(apply_medians(base, medians, num), modes, cat)
-    dictionary = fit_dictionary(base, cat)
-    if persist:
-        dictionary = dictionary.persist()
+    dictionary = stored(fit_dictionary(base, cat), "dictionary")
     base = encode(base, dictionary, cat)
     feats = [c for c in base.columns if c not in BOOKKEEPING and c != t]
-    scalers = fit_scalers(base, feats)
-    if persist:
-        scalers = scalers.persist()
+    scalers = stored(fit_scalers(base, feats), "scalers")
     sd = scaler_dict(scalers)
     a = scale_standard(base, sd, feats)
     b = scale_minmax(base, sd, feats)
     return Prepared(a, b, medians, modes, dictionary, scalers, feats, num, cat)
 
 
+# ---- S13 storage of what was fitted ---------------------------------------------------
+_FITTED = ("table_a", "table_b", "medians", "modes", "dictionary", "scalers")
+
+
+def save_prepared(p: Prepared, root: str) -> None:
+    """Write both tables, every fitted parameter table and the column lists."""
+    for name in _FITTED:
+        getattr(p, name).write.mode("overwrite").parquet(f"{root}/{name}")
+    rows = [(kind, k, c) for kind, cols in (("feature", p.feature_cols), ("numeric", p.numeric_cols), ("categorical", p.categorical_cols))
+            for k, c in enumerate(cols)]
+    p.table_a.sparkSession.createDataFrame(rows, "kind string, ord int, column string").coalesce(1).write.mode("overwrite").parquet(f"{root}/columns")
+
+
+def load_prepared(spark, root: str) -> Prepared:
+    """What ``save_prepared`` wrote, with nothing kept from the session that fitted it."""
+    t = [spark.read.parquet(f"{root}/{n}") for n in _FITTED]
+    cols: dict = {"feature": [], "numeric": [], "categorical": []}
+    for r in spark.read.parquet(f"{root}/columns").orderBy("kind", "ord").collect():
+        cols[r["kind"]].append(r["column"])
+    return Prepared(*t, cols["feature"], cols["numeric"], cols["categorical"])
+
+
 # ---- E8 serving preprocessing ------------------------------------------------------
 def prepare_for_serving(raw: DataFrame, prepared: Prepared, settings: Settings = DEFAULTS,
-                        impute_from_input: bool = False, variant: str = "A") -> DataFrame:
+                        impute_from_input: bool = False, variant: str = "A", carry: tuple = ()) -> DataFrame:
     """Raw policy rows (dates as text or dates) -> feature table in the
     scaler's column order, keyed by ``row_index``. Imputation uses the stored
-    training parameters unless ``impute_from_input`` (reference parity)."""
+    training parameters unless ``impute_from_input`` (reference parity). Columns
+    named in ``carry`` are taken along."""
     t = settings.target
     df = raw
     for c in ("INSR_BEGIN", "INSR_END"):
@@ -271,7 +289,7 @@ def prepare_for_serving(raw: DataFrame, prepared: Prepared, settings: Settings =
         raise ValueError(f"serving input lacks feature columns {missing}")
     scaler = scale_standard if variant == "A" else scale_minmax
     df = scaler(df, prepared.scalers, prepared.feature_cols)
-    keep = [c for c in ("row_index", "batch_id") if c in df.columns]
+    keep = [c for c in ("row_index", "batch_id", *carry) if c in df.columns]
     return df.select(*keep, *prepared.feature_cols)
 
 
@@ -305,8 +323,3 @@ def prepare_retrain(old_raw: DataFrame, new_raw: DataFrame, prepared: Prepared,
     old = X.align_columns(old, cols, 0)
     scaler = scale_standard if variant == "A" else scale_minmax
     return scaler(old, prepared.scalers, prepared.feature_cols)
-
-
-def split(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """O2 on a prepared table."""
-    return temporal_split(df, settings.train_split)

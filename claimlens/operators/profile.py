@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlens.operators.quality import fences, missing_counts, outlier_profile
-from claimlens.operators.stats import group_quantiles, numeric_columns, unpivot
+from claimlens.operators.stats import bounded_broadcast, group_quantiles, numeric_columns, unpivot
+from claimlens.session import stored
 from claimlens.settings import DEFAULTS, HISTOGRAM_BINS, HISTOGRAM_COLUMNS, TOP_CORRELATIONS, Settings
 
 B = "batch_id"
@@ -71,9 +72,10 @@ def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = HISTO
     """Equal-width histogram over [min, max] per (batch, column), last
     bin closed, empty bins included (a constant column spans min-0.5..max+0.5).
 
+    Without ``columns``, the first ``max_cols`` numeric ones are taken.
     Returns ``batch_id, col_ord, column, bin, bin_lo, bin_hi, count``.
     """
-    cols = (columns or numeric_columns(df))[:max_cols]
+    cols = columns or numeric_columns(df)[:max_cols]
     long = unpivot(df, [batch_col], cols).where(F.col("value").isNotNull())
     keys = [batch_col, "col_ord", "column"]
     rng = (long.groupBy(*keys).agg(F.min("value").alias("_mn"), F.max("value").alias("_mx"))
@@ -88,10 +90,11 @@ def bin_counts(long: DataFrame, edges: DataFrame, keys: list[str], bins: int, cl
     """Counts per equal-width bin of ``[lo, hi]`` (from ``edges`` joined on
     ``keys``), every bin present. ``clamp`` puts out-of-range values into the
     outer bins; ``drop_outside`` ignores them."""
+    edges = stored(edges.select(*keys, "lo", "hi"), "edges")   # one row per key, read three times
     w = (F.col("hi") - F.col("lo")) / bins
     raw_bin = F.floor((F.col(value) - F.col("lo")) / w)
     b = F.least(F.greatest(raw_bin, F.lit(0)), F.lit(bins - 1)) if clamp else F.least(raw_bin, F.lit(bins - 1))
-    j = long.join(edges.select(*keys, "lo", "hi"), keys)
+    j = long.join(bounded_broadcast(edges), keys)
     if drop_outside:
         j = j.where((F.col(value) >= F.col("lo")) & (F.col(value) <= F.col("hi")))
     counts = j.groupBy(*keys, b.cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
@@ -110,7 +113,7 @@ def eda(df: DataFrame, batch_col: str = B, settings: Settings = DEFAULTS) -> Dat
     """A10: per batch one record of describe + top correlations + missing
     counts + outlier summary, each as JSON text."""
     cols = numeric_columns(df)
-    described = describe_numeric(df, cols, batch_col, settings).persist()   # quartiles reused below
+    described = stored(describe_numeric(df, cols, batch_col, settings), "described")   # quartiles reused below
     desc = (described
             .groupBy(batch_col).agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct(
                 "column", F.struct("count", "mean", "std", "min", "q25", "q50", "q75", "max")))))).alias("basic_stats")))

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.operators.stats import data_columns, group_quantiles, unpivot
+from claimlens.operators.stats import bounded_broadcast, data_columns, group_quantiles, unpivot
+from claimlens.session import stored
 from claimlens.settings import DEFAULTS, Settings
 
 B = "batch_id"
@@ -63,7 +64,7 @@ def outlier_profile(df: DataFrame, columns: list[str] | None = None, batch_col:
     long = unpivot(df, [batch_col], cols)
     bounds = bounds if bounds is not None else iqr_bounds(df, cols, batch_col, settings)
     v = F.col("value")
-    counted = (long.join(bounds.select(batch_col, "column", "lower_bound", "upper_bound"),
+    counted = (long.join(bounded_broadcast(bounds.select(batch_col, "column", "lower_bound", "upper_bound")),
                          [batch_col, "column"], "left")
                    .groupBy(batch_col, "col_ord", "column")
                    .agg(F.count(F.lit(1)).alias("total_rows"),
@@ -82,7 +83,7 @@ def flag_outliers(df: DataFrame, columns: list[str], batch_col: str = B,
           for i, c in enumerate(columns)])
     flags = [F.coalesce((F.col(c) < F.col(f"_b{i}.lower_bound")) | (F.col(c) > F.col(f"_b{i}.upper_bound")),
                         F.lit(False)) for i, c in enumerate(columns)]
-    out = df.join(wide, batch_col, "left").withColumn(name, F.greatest(*flags) if len(flags) > 1 else flags[0])
+    out = df.join(bounded_broadcast(wide), batch_col, "left").withColumn(name, F.greatest(*flags) if len(flags) > 1 else flags[0])
     return out.drop(*[f"_b{i}" for i in range(len(columns))])
 
 
@@ -148,10 +149,12 @@ def quality_summary(df: DataFrame, batch_col: str = B, settings: Settings = DEFA
                               F.greatest(F.lit(0), 100 - SCORE_PENALTY * F.col("issue_count")).cast("double")))
 
 
-def quality_report_rows(df: DataFrame, batch_col: str = B, settings: Settings = DEFAULTS) -> DataFrame:
+def quality_report_rows(df: DataFrame, batch_col: str = B, settings: Settings = DEFAULTS,
+                        issues: DataFrame | None = None) -> DataFrame:
     """One line per batch with the issues as ``type: column (value=0.000)``
-    joined by ``<br>`` in report order."""
-    issues = quality_issues(df, batch_col, settings)
+    joined by ``<br>`` in report order. ``issues``: the gates' rows where they are
+    stored already; else they are evaluated once."""
+    issues = issues if issues is not None else stored(quality_issues(df, batch_col, settings), "issues")
     summary = quality_summary(df, batch_col, settings, issues)
     text = (issues.groupBy(batch_col)
                   .agg(F.sort_array(F.collect_list(F.struct(

@@ -390,15 +390,9 @@ def _prepared(spark, sf_dir, stored: bool = False):
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _STORED_PREP:
         p = E.prepare(cleaned(spark, sf_dir), tie_cols=FIX_TIES)
-        root = scratch_dir(spark, "prepared")
-        for name in ("table_a", "table_b", "medians", "modes", "dictionary", "scalers"):
-            getattr(p, name).write.parquet(f"{root}/{name}")
-        _STORED_PREP[key] = (root, p.feature_cols, p.numeric_cols, p.categorical_cols)
-    root, feats, num, cat = _STORED_PREP[key]
-    t = {n: spark.read.parquet(f"{root}/{n}") for n in ("table_a", "table_b", "medians", "modes",
-                                                        "dictionary", "scalers")}
-    return E.Prepared(t["table_a"], t["table_b"], t["medians"], t["modes"], t["dictionary"], t["scalers"],
-                      feats, num, cat)
+        _STORED_PREP[key] = scratch_dir(spark, "prepared")
+        E.save_prepared(p, _STORED_PREP[key])
+    return E.load_prepared(spark, _STORED_PREP[key])
 
 
 @query("e1_impute_median", with_policies(f", {_BASE_SQL}\nSELECT column_name AS \"column\", round(median, 9) AS median FROM medians", indexed=False))

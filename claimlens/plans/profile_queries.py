@@ -12,7 +12,7 @@ from claimlens.operators import drift as D
 from claimlens.operators import profile as P
 from claimlens.operators.quality import missing_counts
 from claimlens.plans.registry import query, r6, union_all_sql
-from claimlens.settings import DEFAULTS
+from claimlens.settings import DEFAULTS, HISTOGRAM_COLUMNS
 from claimlens.sources.fixtures import POLICY_COLUMNS, cleaned, with_cleaned
 
 S = DEFAULTS
@@ -141,7 +141,7 @@ FROM hist""")
 
 @query("a11_histogram", A11_SQL)
 def a11_histogram(spark, sf_dir):
-    h = P.histogram(cleaned(spark, sf_dir), EDA_NUM)
+    h = P.histogram(cleaned(spark, sf_dir), EDA_NUM[:HISTOGRAM_COLUMNS])
     return h.select("batch_id", "col_ord", "column", "bin", r6("bin_lo").alias("bin_lo"),
                     r6("bin_hi").alias("bin_hi"), "count", r6("lo").alias("lo"), r6("hi").alias("hi"))
 

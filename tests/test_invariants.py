@@ -64,7 +64,7 @@ def test_models_beat_nothing_and_importances_sum_to_one(spark):
     tree = M.fit_tree(s.where("is_train"), cols)
     imp = M.feature_importances(tree, cols, spark)
     assert math.isclose(imp.agg(F.sum("importance")).first()[0], 1.0, rel_tol=1e-9)
-    pred = M.predict_with("decision_tree", tree, None, s.where("NOT is_train"), cols)
+    pred = M.predictions("decision_tree", tree, s.where("NOT is_train"), cols)
     assert pred.count() == s.where("NOT is_train").count()
 
 

@@ -56,7 +56,16 @@ def test_profile_exchanges_do_not_grow_with_columns(spark):
     assert n2 == n4
 
 
-def test_row_index_window_is_partitioned(spark):
+def test_row_index_sorts_in_ranges(spark):
+    """No window over rows: the only one runs over a row per partition."""
     text = plan(policies(spark, SF_SMALL, stored=False))
-    windows = [l for l in text.splitlines() if l.strip().startswith("Arguments:") and "row_number()" in l]
-    assert windows and all("_k1" in l for l in windows)
+    assert "row_number()" not in text
+    windows = [x for x in text.splitlines() if x.strip().startswith("Arguments:") and "windowspecdefinition" in x]
+    assert all("_part" in x for x in windows)
+
+
+def test_tree_scoring_moves_no_rows(spark):
+    """The raw row goes along through preparation and model, so nothing is joined by row_index."""
+    import __spark_entry__ as entry
+    text = plan(entry.queries()["m10_predict"](spark, SF_SMALL))
+    assert "SortMergeJoin" not in text and "ShuffledHashJoin" not in text

@@ -1,10 +1,14 @@
 """Code paths that only trigger at scale, forced on small data."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from claimlens.operators import positions, stats
 from claimlens.operators.positions import with_row_index
+from claimlens.operators.profile import histogram
+from claimlens.operators.quality import flag_outliers, outlier_profile
 from claimlens.operators.stats import group_quantiles
-from claimlens.sources.fixtures import MISSING_DATE_SENTINEL, policies
+from claimlens.sources.fixtures import MISSING_DATE_SENTINEL, cleaned, policies
 from tests.conftest import SF_SMALL
 
 ORDER = ["_bk", "OBJECT_ID", "tie1", "tie2", "tie3"]
@@ -15,26 +19,67 @@ def _keyed(spark):
         "_bk", F.coalesce("INSR_BEGIN", F.lit(MISSING_DATE_SENTINEL).cast("date")))
 
 
-def test_hot_leading_key_split_gives_same_positions(spark):
-    df = _keyed(spark)
-    plain = with_row_index(df, ORDER).select("OBJECT_ID", "tie1", "tie2", "tie3", "row_index")
-    # every date above 3 rows is "hot" and split into 4 sub-ranges of OBJECT_ID
-    split = with_row_index(df, ORDER, hot_rows=3, hot_splits=4).select("OBJECT_ID", "tie1", "tie2", "tie3",
-                                                                        "row_index")
-    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
-
-
-def test_one_key_holding_a_third_of_rows(spark):
-    """A single leading value with a third of all rows still gets exact,
-    contiguous positions when split."""
-    df = _keyed(spark)
-    hot = df.withColumn("_bk", F.when(F.col("batch_id") < 3, F.lit("2000-01-01").cast("date")).otherwise(F.col("_bk")))
-    a = with_row_index(hot, ORDER).select("OBJECT_ID", "tie1", "tie2", "tie3", "row_index")
-    b = with_row_index(hot, ORDER, hot_rows=100, hot_splits=16).select("OBJECT_ID", "tie1", "tie2", "tie3",
-                                                                         "row_index")
-    assert a.exceptAll(b).count() == 0
-    s = b.agg(F.min("row_index"), F.max("row_index"), F.count_distinct("row_index"), F.count(F.lit(1))).first()
-    assert s[0] == 0 and s[1] == s[3] - 1 and s[2] == s[3]
+def test_positions_whatever_leads(spark):
+    """A leading column with two values and a date second (source, date), and one value
+    with a third of all rows: positions follow the order, contiguous, in many partitions."""
+    df = _keyed(spark).withColumn("source_ord", F.when(F.col("batch_id") < 3, 0).otherwise(1))
+    order = ["source_ord", *ORDER]
+    got = with_row_index(df, order).select(*order, "row_index").toPandas()
+    want = got.sort_values(order, ignore_index=True)
+    assert want.row_index.tolist() == list(range(len(want)))
+    names = with_row_index(df.select("MAKE", "tie1", "tie2", "tie3"), ["MAKE", "tie1", "tie2", "tie3"]).toPandas()   # strings, nulls first
+    names = names.sort_values("row_index", ignore_index=True)
+    keys = [(m is not None, m or "", *t) for m, *t in names[["MAKE", "tie1", "tie2", "tie3"]].itertuples(index=False)]
+    assert keys == sorted(keys)
+
+
+def test_positions_spread_a_common_leading_value(spark, monkeypatch):
+    kept = []
+    store = positions.stored
+    monkeypatch.setattr(positions, "stored", lambda df, name: kept.append(store(df, name)) or kept[-1])
+    df = spark.range(20_000).select(F.lit(1).alias("lead"), F.date_add(F.lit("2000-01-01").cast("date"), (F.col("id") % 5000).cast("int")).alias("day"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        with_row_index(df, ["lead", "day", "id"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [r["count"] for r in kept[0].groupBy("_part").count().collect()]
+    assert len(sizes) >= 6 and max(sizes) < 20_000 / 3
+
+
+def test_quantile_candidates_are_bounded(spark, monkeypatch):
+    """One group with a continuous column: brackets are cut until a window task sees
+    few rows, from the sketch and from the whole range alike, and the value is exact."""
+    monkeypatch.setattr(stats, "MAX_CANDIDATES", 100)
+    df = spark.range(30_000).select(F.lit(1).alias("g"), (F.rand(3) * 1000).alias("v"))
+    probs = [0.25, 0.5, 0.99]
+    exact = pytest.approx(tuple(group_quantiles(df, ["g"], "v", probs, method="spark").first()), abs=1e-9)
+    assert tuple(group_quantiles(df, ["g"], "v", probs).first()) == exact
+    assert tuple(group_quantiles(df, ["g"], "v", probs, accuracy=10, halfwidth=1e-9).first()) == exact
+    n = df.count()
+    rows = [(1, n, k, 0.0, 1000.0, (n - 1) * p, int((n - 1) * p), int((n - 1) * p) + 1) for k, p in enumerate(probs)]
+    whole = spark.createDataFrame(rows, "g int, _n long, k int, _lo double, _hi double, _h double, _i long, _j long")
+    nn = df.withColumnRenamed("v", "_v")
+    got = stats._narrowed(nn, ["g"], whole, 5000)
+    inside = nn.join(F.broadcast(got.select("g", "k", "_lo", "_hi")), "g").where(F.col("_v").between(F.col("_lo"), F.col("_hi"))).groupBy("k").count()
+    assert max(r["count"] for r in inside.collect()) <= 100
+
+
+def test_fact_rows_are_not_shuffled_on_few_keys(spark):
+    """Small tables join the facts by a checked broadcast, also where Spark's own
+    estimate would not allow one."""
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold") if spark.conf.get(k, None)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1024")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        c = cleaned(spark, SF_SMALL)
+        for df in (outlier_profile(c, ["PREMIUM"]), flag_outliers(c, ["PREMIUM"]), histogram(c, ["PREMIUM"])):
+            text = df._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in text
+    finally:
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        for k, v in keep.items():
+            spark.conf.set(k, v)
 
 
 def test_exact_quantiles_fallback_when_bracket_misses(spark):
