@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from claimlens.plans.quality_queries import A5_SQL
 from claimlens.plans.registry import query, r6
-from claimlens.session import scratch_dir
+from claimlens.session import scratch_dir, stored
 from claimlens.sources.fixtures import policies, read_table, with_policies
 from claimlens.streaming import jobs as T
 
@@ -56,36 +56,61 @@ def t2_stream_analyse(spark, sf_dir):
     return spark.read.parquet(paths["drift"]).withColumn("psi", r6("psi"))
 
 
-def _events(spark, sf_dir):
-    # event time must be a (UTC) TIMESTAMP for watermarks
-    e = read_table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), "events")
+# ---- T3, T4: events in time order, some late, some delivered twice ---------------------
+SLICES, DELAY_HOURS = 6, 6
+# An event arrives with its time slice; every 20th comes two slices late, every 10th of
+# the others is delivered again one slice later.
+_ARRIVED_SQL = f"""
+WITH span AS (SELECT min(ts) AS lo, epoch(max(ts)) - epoch(min(ts)) + 1 AS secs FROM events),
+own AS (SELECT e.*, CAST(floor((epoch(ts) - epoch(lo)) * {SLICES} / secs) AS INTEGER) AS slice FROM events e, span),
+arrived AS (SELECT *, CASE WHEN event_id % 20 = 0 THEN least(slice + 2, {SLICES - 1}) ELSE slice END AS arrival FROM own
+            UNION ALL SELECT *, slice + 1 AS arrival FROM own WHERE event_id % 20 = 10 AND slice + 1 < {SLICES}),
+seen AS (SELECT arrival, max(max(ts)) OVER (ORDER BY arrival) - INTERVAL {DELAY_HOURS} HOUR AS mark FROM arrived GROUP BY arrival),
+-- an epoch drops what lies before the mark that the last but one epoch left
+timed AS (SELECT a.*, s.mark AS late_mark FROM arrived a LEFT JOIN seen s ON s.arrival = a.arrival - 2)"""
+
+
+def _event_slices(spark, sf_dir):
+    """The events as a file source, one file for each arrival slice, written one after the other."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), "slices")
     if key not in _SOURCES:
-        src = scratch_dir(spark, "event_files")
-        e.write.parquet(src)
+        src = scratch_dir(spark, "event_slices")
+        # event time must be a (UTC) TIMESTAMP for watermarks
+        e = read_table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+        sec = F.unix_micros("ts") / 1_000_000
+        lo, hi = e.agg(F.min(sec)).scalar(), e.agg(F.max(sec)).scalar()
+        own = e.withColumn("slice", F.floor((sec - lo) * SLICES / (hi - lo + 1)).cast("int"))
+        arrived = own.withColumn("arrival", F.when(F.col("event_id") % 20 == 0, F.least(F.col("slice") + 2, F.lit(SLICES - 1))).otherwise(F.col("slice")))
+        again = own.where((F.col("event_id") % 20 == 10) & (F.col("slice") + 1 < SLICES)).withColumn("arrival", F.col("slice") + 1)
+        arrived = stored(arrived.unionByName(again), "arrived")
+        for k in range(SLICES):
+            arrived.where(F.col("arrival") == k).coalesce(1).write.mode("append").parquet(src)
         _SOURCES[key] = src
-    return _SOURCES[key], e.schema
+    return _SOURCES[key], spark.read.parquet(_SOURCES[key]).schema
 
 
-@query("t3_stream_dedup", """
-SELECT DISTINCT user_id, event_type, date_trunc('hour', ts) AS hour FROM events""")
+@query("t3_stream_dedup", _ARRIVED_SQL + """
+SELECT event_id, user_id, min(arrival) AS arrival FROM timed WHERE late_mark IS NULL OR ts > late_mark GROUP BY event_id, user_id""")
 def t3_stream_dedup(spark, sf_dir):
-    src, schema = _events(spark, sf_dir)
-    keyed = scratch_dir(spark, "event_keyed")
-    spark.read.parquet(src).withColumn("hour", F.date_trunc("hour", "ts")).write.parquet(keyed)
+    """One slice an epoch: of an event delivered twice the first arrival is kept, what
+    comes behind the watermark is dropped."""
+    src, schema = _event_slices(spark, sf_dir)
     out, ckpt = scratch_dir(spark, "dedup_out"), scratch_dir(spark, "ckpt")
-    T.stream_dedup(spark, keyed, spark.read.parquet(keyed).schema, ["user_id", "event_type", "hour"], "ts",
-                   "1 hour", out, ckpt)
-    return spark.read.parquet(out).select("user_id", "event_type", F.col("hour").cast("timestamp_ntz").alias("hour"))
+    T.stream_dedup(spark, src, schema, ["event_id"], "ts", f"{DELAY_HOURS} hours", out, ckpt, files_per_batch=1)
+    return spark.read.parquet(out).select("event_id", "user_id", "arrival")
 
 
-@query("t4_stream_profile", """
-SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, count(*) AS rows,
-       count(*) - count(value) AS nulls, round(avg(value), 6) AS mean
-FROM events GROUP BY ALL""")
+@query("t4_stream_profile", _ARRIVED_SQL + f""",
+kept AS (SELECT *, date_trunc('day', ts) AS day FROM timed
+         WHERE late_mark IS NULL OR date_trunc('day', ts) + INTERVAL 1 DAY > late_mark),
+final AS (SELECT max(ts) - INTERVAL {DELAY_HOURS} HOUR AS mark FROM events)
+SELECT CAST(day AS DATE) AS day, event_type, count(*) AS rows, count(*) - count(value) AS nulls, round(avg(value), 6) AS mean
+FROM kept, final WHERE day + INTERVAL 1 DAY <= mark GROUP BY ALL""")
 def t4_stream_profile(spark, sf_dir):
-    src, schema = _events(spark, sf_dir)
+    """One slice an epoch, append mode: a day is emitted once the watermark has passed
+    it; rows that come later are dropped, days still open stay in the state."""
+    src, schema = _event_slices(spark, sf_dir)
     out, ckpt = scratch_dir(spark, "profile_out"), scratch_dir(spark, "ckpt")
-    T.stream_profile(spark, src, schema, "ts", "1 day", "1 day", "event_type", "value", out, ckpt)
+    T.stream_profile(spark, src, schema, "ts", "1 day", f"{DELAY_HOURS} hours", "event_type", "value", out, ckpt, files_per_batch=1)
     r = spark.read.parquet(out)
     return r.select(F.to_date(F.col("w.start")).alias("day"), "event_type", "rows", "nulls", r6("mean").alias("mean"))

@@ -182,10 +182,11 @@ def stream_dedup(spark: SparkSession, source_path: str, schema: StructType, keys
 
 def stream_profile(spark: SparkSession, source_path: str, schema: StructType, ts: str, window: str,
                    delay: str, group: str, value: str, out_path: str, checkpoint: str,
-                   files_per_batch: int | None = None, mode: str = "complete"):
+                   files_per_batch: int | None = None, mode: str = "append"):
     """T4: per event-time window and ``group``: rows, missing values and mean
-    of ``value``. ``mode="append"`` emits a window once the watermark passes
-    it (late rows dropped); ``complete`` rewrites the whole (small) result."""
+    of ``value``. ``mode="append"`` emits a window once the watermark passes it
+    (late rows dropped, state bounded); each epoch's rows replace themselves when
+    it is replayed. ``complete`` rewrites the whole result and keeps all windows."""
     stream = _file_stream(spark, source_path, schema, "parquet", files_per_batch)
     agg = (stream.withWatermark(ts, delay)
                  .groupBy(F.window(ts, window).alias("w"), group)
@@ -193,7 +194,11 @@ def stream_profile(spark: SparkSession, source_path: str, schema: StructType, ts
                       F.avg(value).alias("mean")))
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(out_path)
+        if mode == "complete":
+            batch.write.mode("overwrite").parquet(out_path)
+        else:
+            batch.withColumn("epoch", F.lit(int(epoch_id))).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(out_path)
 
     q = (agg.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
             .outputMode(mode).trigger(availableNow=True).start())
