@@ -31,7 +31,7 @@ def r12(c):
 
 
 # ---- A7 describe -------------------------------------------------------------
-A7_SQL = with_cleaned(union_all_sql([
+_A7_BODY = union_all_sql([
     f"""SELECT batch_id, {i} AS col_ord, '{c}' AS "column", count({_q(c)}) AS count,
        round(avg(CAST({_q(c)} AS DOUBLE)), 6) AS mean, round(stddev_samp(CAST({_q(c)} AS DOUBLE)), 6) AS std,
        CAST(min({_q(c)}) AS DOUBLE) AS min,
@@ -39,7 +39,8 @@ A7_SQL = with_cleaned(union_all_sql([
        round(quantile_cont(CAST({_q(c)} AS DOUBLE), 0.5), 9) AS q50,
        round(quantile_cont(CAST({_q(c)} AS DOUBLE), 0.75), 9) AS q75,
        CAST(max({_q(c)}) AS DOUBLE) AS max
-FROM cleaned GROUP BY batch_id""" for i, c in enumerate(EDA_NUM)]))
+FROM cleaned GROUP BY batch_id""" for i, c in enumerate(EDA_NUM)])
+A7_SQL = with_cleaned(_A7_BODY)
 
 
 @query("a7_describe", A7_SQL)
@@ -105,9 +106,39 @@ def a9_missing(spark, sf_dir):
 
 
 # ---- A10 EDA record (composition of A7, O3, A9, A3; JSON text) -------------
-@query("a10_eda")
+_A10_OUT = union_all_sql([
+    f"""SELECT t.batch_id, 'outliers' AS part, '{c}' AS name,
+       CAST(count(*) FILTER (WHERE {_q(c)} < q25 - {S.iqr_factor} * (q75 - q25) OR {_q(c)} > q75 + {S.iqr_factor} * (q75 - q25)) AS DOUBLE) AS value
+FROM cleaned t JOIN (SELECT * FROM described WHERE "column" = '{c}') d USING (batch_id) GROUP BY t.batch_id""" for c in EDA_NUM])
+_A10_MISS = union_all_sql([
+    f"SELECT batch_id, 'missing' AS part, '{c}' AS name, CAST(count(*) - count({_q(c)}) AS DOUBLE) AS value FROM cleaned GROUP BY batch_id"
+    for c in POLICY_COLUMNS])
+A10_SQL = with_cleaned(f""", {_CORR_CTE},
+described AS ({_A7_BODY}),
+best AS (SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY round(abs(correlation), 9) DESC NULLS LAST, pair_ord) AS rn FROM corr)
+SELECT batch_id, 'basic.' || m AS part, "column" AS name, CAST(v AS DOUBLE) AS value
+FROM described UNPIVOT INCLUDE NULLS (v FOR m IN (mean, std, min, q50, max))
+UNION ALL SELECT batch_id, 'basic.count', "column", CAST(count AS DOUBLE) FROM described
+UNION ALL {_A10_MISS}
+UNION ALL {_A10_OUT}
+UNION ALL SELECT batch_id, 'correlation', col1 || '~' || col2, round(correlation, 6) FROM best WHERE rn <= 5""")
+
+
+@query("a10_eda", A10_SQL)
 def a10_eda(spark, sf_dir):
-    return P.eda(cleaned(spark, sf_dir))
+    """The stored EDA records, opened again into one row per number."""
+    e = P.eda(cleaned(spark, sf_dir))
+    number = "struct<count:long,mean:double,std:double,min:double,q25:double,q50:double,q75:double,max:double>"
+    basic = e.select("batch_id", F.explode(F.from_json("basic_stats", f"map<string,{number}>")).alias("name", "s")).select(
+        "batch_id", "name", F.inline(F.array(*[F.struct(F.lit(f"basic.{m}").alias("part"), (F.round(F.col(f"s.{m}"), n) if n else F.col(f"s.{m}")).cast("double").alias("value"))
+                                               for m, n in (("count", 0), ("mean", 6), ("std", 6), ("min", 0), ("q50", 9), ("max", 0))])))
+    miss = e.select("batch_id", F.explode(F.from_json("missing_patterns", "map<string,long>")).alias("name", "value")).select(
+        "batch_id", "name", F.lit("missing").alias("part"), F.col("value").cast("double").alias("value"))
+    outl = e.select("batch_id", F.explode(F.from_json("outliers_summary", "map<string,struct<count:long>>")).alias("name", "s")).select(
+        "batch_id", "name", F.lit("outliers").alias("part"), F.col("s.count").cast("double").alias("value"))
+    corr = e.select("batch_id", F.inline(F.from_json("correlations", "array<struct<col1:string,col2:string,correlation:double>>"))).select(
+        "batch_id", F.concat_ws("~", "col1", "col2").alias("name"), F.lit("correlation").alias("part"), r6("correlation").alias("value"))
+    return basic.unionByName(miss).unionByName(outl).unionByName(corr).select("batch_id", "part", "name", "value")
 
 
 # ---- A11 histogram ----------------------------------------------------------
