@@ -113,6 +113,7 @@ def quality_issues(df: DataFrame, batch_col: str = B, settings: Settings = DEFAU
     ``issue_ord`` is the order the reference reports them in: null issues in
     column order, then outlier issues, then low-cardinality issues.
     """
+    step = max(1000, len(df.columns))     # above any column's position
     nulls = (null_ratios(df, batch_col=batch_col)
              .where(F.col("null_ratio") > settings.max_null_ratio)
              .select(batch_col, F.col("col_ord").alias("issue_ord"), F.lit("high_null_ratio").alias("type"),
@@ -120,12 +121,12 @@ def quality_issues(df: DataFrame, batch_col: str = B, settings: Settings = DEFAU
                      F.lit(settings.max_null_ratio).alias("threshold")))
     outl = (outlier_profile(df, batch_col=batch_col, settings=settings)
             .where(F.col("outlier_ratio") > settings.max_outlier_ratio)
-            .select(batch_col, (F.col("col_ord") + 1000).alias("issue_ord"), F.lit("high_outlier_ratio").alias("type"),
+            .select(batch_col, (F.col("col_ord") + step).alias("issue_ord"), F.lit("high_outlier_ratio").alias("type"),
                     "column", F.col("outlier_ratio").alias("value"),
                     F.lit(settings.max_outlier_ratio).alias("threshold")))
     card = (unique_ratios(df, batch_col=batch_col, settings=settings)
             .where(F.col("unique_ratio") < settings.min_unique_ratio)
-            .select(batch_col, (F.col("col_ord") + 2000).alias("issue_ord"), F.lit("low_cardinality").alias("type"),
+            .select(batch_col, (F.col("col_ord") + 2 * step).alias("issue_ord"), F.lit("low_cardinality").alias("type"),
                     "column", F.col("unique_ratio").alias("value"),
                     F.lit(settings.min_unique_ratio).alias("threshold")))
     return nulls.unionByName(outl).unionByName(card)
