@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.session import scratch_dir
+from claimlens.session import stored
+
+__all__ = ["FOLDS", "held_out", "stored", "table"]
 
 #: A learned model sees only documents whose crc32(doc_id as text) modulo this is not 0.
 FOLDS = 5
@@ -16,15 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*cols)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write to a table in the shared checkpoint folder and read it back: cuts
-    the lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = scratch_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def held_out(doc_id: str = "doc_id"):
     """True where crc32(doc_id as text) mod 5 is 0; a null id counts as held out,
     since nothing is learned from it."""
