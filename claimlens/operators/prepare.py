@@ -16,7 +16,7 @@ from pyspark.sql.types import NumericType, StringType
 
 from claimlens.functions import features as X
 from claimlens.functions.dates import parse_mixed_date, parse_policy_date, policy_year
-from claimlens.operators.positions import with_row_index
+from claimlens.operators.positions import temporal_split, with_row_index
 from claimlens.operators.stats import bounded_broadcast, group_quantiles, unpivot
 from claimlens.session import stored
 from claimlens.settings import BOOKKEEPING, DEFAULTS, Settings
@@ -198,17 +198,26 @@ class Prepared:
 
 
 def _base(cleaned: DataFrame, settings: Settings, tie_cols) -> DataFrame:
-    """P12 -> P3 -> target features recomputed after the fill -> P11 -> O1 -> P14."""
-    t = settings.target
-    df = X.fill_target(cleaned, settings)
+    """P12 -> P3 -> target features recomputed after the fill -> P11 -> O1 -> P14.
+    With ``claim_ratio_fill="median"`` the target features come before the fill, so
+    those of rows without a claim are missing and imputed like any other column."""
+    df = cleaned.drop(*[c for c in ("claim_ratio", "is_claim") if c in cleaned.columns])
     df = df.withColumn("INSR_YEAR", policy_year("INSR_BEGIN"))
-    df = df.drop(*[c for c in ("claim_ratio", "is_claim") if c in df.columns])
-    df = X.add_missing_features(df, settings)
+    steps = [lambda d: X.fill_target(d, settings), lambda d: X.add_missing_features(d, settings)]
+    for step in reversed(steps) if settings.claim_ratio_fill == "median" else steps:
+        df = step(df)
     df = order_by_start(df, tie_cols, "_pos")
     df = df.drop("row_index").withColumnRenamed("_pos", "row_index")
     return X.drop_columns(df, settings.drop_columns)
 
 
+def _fitted_on(df: DataFrame, settings: Settings) -> DataFrame:
+    """The rows that parameters are fitted on: all, or the training rows alone."""
+    if settings.fit_on == "all":
+        return df
+    return temporal_split(df, settings.train_split).where("is_train").select(*df.columns)
+
+
 def prepare(cleaned: DataFrame, settings: Settings = DEFAULTS, tie_cols=("batch_id", "row_index")) -> Prepared:
     """Cleaned batches -> scaled tables A (standard) and B (min-max) plus
     every fitted parameter table. ``row_index`` is the time-order position.
@@ -221,13 +230,13 @@ def prepare(cleaned: DataFrame, settings: Settings = DEFAULTS, tie_cols=("batch_
            if isinstance(f.dataType, NumericType) and f.name not in BOOKKEEPING and f.name != t]
     cat = [f.name for f in base.schema.fields
            if isinstance(f.dataType, StringType) and f.name not in BOOKKEEPING]
-    medians = stored(fit_medians(base, num, settings), "medians")
-    modes = stored(fit_modes(base, cat), "modes")
+    medians = stored(fit_medians(_fitted_on(base, settings), num, settings), "medians")
+    modes = stored(fit_modes(_fitted_on(base, settings), cat), "modes")
     base = apply_modes(apply_medians(base, medians, num), modes, cat)
-    dictionary = stored(fit_dictionary(base, cat), "dictionary")
+    dictionary = stored(fit_dictionary(_fitted_on(base, settings), cat), "dictionary")
     base = encode(base, dictionary, cat)
     feats = [c for c in base.columns if c not in BOOKKEEPING and c != t]
-    scalers = stored(fit_scalers(base, feats), "scalers")
+    scalers = stored(fit_scalers(_fitted_on(base, settings), feats), "scalers")
     sd = scaler_dict(scalers)
     a = scale_standard(base, sd, feats)
     b = scale_minmax(base, sd, feats)

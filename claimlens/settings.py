@@ -78,6 +78,10 @@ class Settings:
     iqr_factor: float = IQR_FACTOR
     # drift mode: "clamp" (default), "proportion" or "density" (reference parity)
     psi_mode: str = "clamp"
+    # rows that preparation fits its parameters on: "all" (reference parity) or "train"
+    fit_on: str = "all"
+    # claim_ratio / is_claim of rows without a claim: from the filled target ("target") or imputed ("median")
+    claim_ratio_fill: str = "target"
     # quantiles: "exact" (distributed exact, interpolated) or "approx"
     quantile_method: str = "exact"
 

@@ -162,3 +162,22 @@ def test_linear_model_goes_on_from_its_newest_version(spark):
     assert "sgd_A_next" in got and len(got) == 3
     with pytest.raises(RuntimeError):
         M.validate([], {}, [], spark=spark)
+
+
+def test_preparation_options(spark):
+    """Parameters from the training rows alone, and missing target features imputed."""
+    from claimlens.operators import prepare as E
+    from claimlens.operators.positions import temporal_split
+    from claimlens.sources.fixtures import cleaned
+    ties = ("OBJECT_ID", "tie1", "tie2", "tie3")
+    c = cleaned(spark, SF_SMALL)
+    p = E.prepare(c, DEFAULTS.with_(fit_on="train"), tie_cols=ties)
+    train = temporal_split(p.table_a, DEFAULTS.train_split).where("is_train")
+    # scaled on the training rows: there, and only there, mean 0 and deviation 1
+    m = train.agg(F.avg("PREMIUM"), F.stddev_pop("PREMIUM")).first()
+    assert abs(m[0]) < 1e-9 and abs(m[1] - 1) < 1e-9
+    assert abs(p.table_a.agg(F.avg("PREMIUM")).first()[0]) > 1e-6
+    q = E.prepare(c, DEFAULTS.with_(claim_ratio_fill="median"), tie_cols=ties)
+    medians = {r["column"]: r["median"] for r in q.medians.collect()}
+    missing = c.where("CLAIM_PAID is null").count()
+    assert missing and medians["claim_ratio"] > 0
