@@ -153,3 +153,24 @@ def test_pages_are_their_documents(spark):
     docs = {norm(r[0]) for s in ("sf0.01", "sf0.1") for r in spark.read.parquet(f"/root/testdata/{s}/documents.parquet").select("text").collect()}
     got = queries.QUERIES["op8_html_extraction"](spark, SF).collect()
     assert len(got) == 250 and all(r.text.split("\n", 1)[1] in docs for r in got)
+
+
+LONG = "A sentence of the post that goes on for a while. " * 5
+
+
+@pytest.mark.parametrize("body, inner", [("home has-sidebar", "post"), ("nav-open", "post"), ("home", "post-body no-comments"), ("home", "layout-sidebar"), ("home", "social")])
+def test_class_words_never_lose_a_host(spark, body, inner):
+    """Classes of the body or of what holds the article leave its text; real boilerplate stays out."""
+    html = (f'<html><body class="{body}"><div class="site-nav"><a>Home</a></div><div class="{inner}"><h1>Head %d</h1><p>{LONG}%d</p>'
+            '<div class="comments"><p>First!</p></div></div><div class="page-footer">Imprint</div></body></html>')
+    df = spark.createDataFrame([(k, f"http://a.example/{k}", html % (k, k)) for k in range(6)], "page_id long, url string, html string")
+    want = {k: f"Head {k}\n{LONG}{k}" for k in range(6)}
+    got = {r.page_id: r.text for r in wrappers.extract(df).collect()}
+    assert got == want
+
+
+def test_marked_holder_of_the_article():
+    html = f'<body><div class="widget"><article><p>{LONG}</p></article></div><div class="related"><p>More</p></div></body>'
+    assert wrappers.main_text(html, "<article.") == LONG.strip()
+    both = f'<body><article><p>{LONG}</p></article><div class="related"><article><p>Teaser</p></article></div></body>'
+    assert wrappers.main_text(both, "<article.") == LONG.strip()
