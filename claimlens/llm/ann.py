@@ -4,7 +4,8 @@ Each hash table turns a vector by three rounds of random signs and a fast
 Hadamard transform and files it under the signed axis nearest to the result. A
 query looks into the buckets of its nearest axes in every table (multiprobe);
 what it meets there is ranked by the inner product of the original vectors.
-Equal vectors are searched once.
+Points are banded by norm, a band is hashed by direction in buckets of its own, and
+a query looks into all bands. Equal vectors are searched once.
 """
 
 from __future__ import annotations
@@ -21,6 +22,11 @@ from claimlens.llm.base import stored
 TARGET, CROWDED = 4096, 32_768
 #: Queries compared at a time.
 ROWS = 64
+#: Queries hashed at a time.
+ASKED = 1024
+#: Largest by smallest norm of a band, and points below which norms share a band
+#: that isn't hashed but met as a whole by every query.
+BAND, SMALL = 1.1, 256
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -51,6 +57,8 @@ class Hasher:
         self.probes = min(probes * max(1, int(np.sqrt(2 * self.second))), 2 * self.width)
 
     def turned(self, x: np.ndarray, query: bool, table: int, which: int) -> np.ndarray:
+        if not self.norm:
+            x = x / np.abs(x).max(1, keepdims=True)  # no square leaves the range of doubles
         size = np.linalg.norm(x, axis=1)
         y = np.zeros((len(x), self.width))
         y[:, : x.shape[1]] = x
@@ -80,6 +88,31 @@ class Hasher:
         return np.take_along_axis(first, best // other.shape[1], 1) * 2 * self.second + np.take_along_axis(other, best % other.shape[1], 1)
 
 
+def bands(shapes, tables: int, probes: int):
+    """(band of each (dim, bin), bands of each dim as (first bucket, hasher)). A bin
+    of ``SMALL`` points and more is a band of its own; smaller ones, in the order of
+    their norms, fill bands without a hasher, which are one bucket each."""
+    of: dict[tuple[int, int], int] = {}
+    every: dict[int, list] = {}
+    held: dict[int, list[int]] = {}  # the open small band of each dim: place, points
+    bucket: dict[int, int] = {}
+    for s in sorted(shapes, key=lambda s: (s.dim, s.bin)):
+        own = every.setdefault(s.dim, [])
+        if s.n < SMALL and s.dim in held and held[s.dim][1] < SMALL:
+            held[s.dim][1] += s.n
+            of[s.dim, s.bin] = held[s.dim][0]
+            continue
+        of[s.dim, s.bin] = len(own)
+        hasher = None
+        if s.n < SMALL:
+            held[s.dim] = [len(own), s.n]
+        else:
+            hasher = Hasher(s.dim, s.n, 1.0, 1.0, tables, probes)  # directions only
+        own.append((bucket.get(s.dim, 0), hasher))
+        bucket[s.dim] = own[-1][0] + (2 * hasher.width * max(1, 2 * hasher.second) if hasher else 1)
+    return of, every
+
+
 def _matrix(column) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(column), -1)
@@ -110,7 +143,8 @@ def search(rows: DataFrame, is_query, k: int = 20, tables: int = 12, probes: int
     vec_id. Rows with a null vec_id and vectors that are null, empty, zero or hold
     a null or non-finite component take no part; vectors of other lengths than the
     query's are no candidates. Repeated rows count once; a row with the query's
-    own id never is its neighbour. Recall is that of the hash tables."""
+    own id never is its neighbour. Recall is that of the hash tables, norms of any
+    spread included; vectors whose norms are rare are compared with every query."""
     clean = rows.select("vec_id", F.col("embedding").alias("vec")).where(
         F.col("vec_id").isNotNull() & F.col("vec").isNotNull()
         & F.forall("vec", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
@@ -123,23 +157,32 @@ def search(rows: DataFrame, is_query, k: int = 20, tables: int = 12, probes: int
     reps = members.where("first").select("rep", "vec")
     asked = stored(clean.where(is_query(F.col("vec_id"))).select(F.col("vec_id").alias("query_id"), "vec")
                    .join(reps, "vec").select("query_id", "rep").distinct(), "queries")
-    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double")))
-    shapes = reps.groupBy(F.size("vec").alias("dim")).agg(F.count("*").alias("n"), F.min(norm).alias("low"), F.max(norm).alias("high")).collect()
-    hashers = {s.dim: Hasher(s.dim, s.n, s.low, s.high, tables, probes) for s in shapes}
+    largest = F.array_max(F.transform("vec", lambda v: F.abs(v.cast("double"))))
+    squares = F.aggregate("vec", F.lit(0.0), lambda a, v: a + (v.cast("double") / F.col("_largest")) * (v.cast("double") / F.col("_largest")))
+    reps = (reps.withColumn("_largest", largest)
+            .withColumn("bin", F.floor((F.log("_largest") + F.log(squares) / 2) / float(np.log(BAND)) + 0.5).cast("int")).drop("_largest"))
+    # norms are doubles, so no length has more than 15,000 bins
+    shapes = reps.groupBy(F.size("vec").alias("dim"), "bin").agg(F.count("*").alias("n")).collect()
     spark = rows.sparkSession
-    plan = spark.sparkContext.broadcast(hashers)
+    plan = spark.sparkContext.broadcast(bands(shapes, tables, probes))
     flagged = stored(reps.join(asked.select("rep").distinct().withColumn("asks", F.lit(True)), "rep", "left")
-                     .select("rep", "vec", F.coalesce("asks", F.lit(False)).alias("asks")), "points")
+                     .select("rep", "vec", F.coalesce("asks", F.lit(False)).alias("asks"), "bin"), "points")
 
     def entries(batch):
         """(dim, table, rows of the batch, their buckets, whether they ask)."""
+        of, every = plan.value
         for dim, part in _by_length(batch, 1):
             x, asks = _matrix(part.column(1)), np.nonzero(part.column(2).to_numpy(zero_copy_only=False))[0]
-            for t in range(tables):
-                yield dim, t, part, np.arange(len(x)), plan.value[dim].buckets(x, t)[:, 0], False
-                if len(asks):
-                    probed = plan.value[dim].buckets(x[asks], t, True)
-                    yield dim, t, part, np.repeat(asks, probed.shape[1]), probed.ravel(), True
+            own = np.array([of[dim, k] for k in part.column(3).to_pylist()])
+            for band, (base, hasher) in enumerate(every[dim]):
+                mine = np.nonzero(own == band)[0]
+                for t in range(tables if hasher else 1):
+                    if len(mine):
+                        yield dim, t, part, mine, base + (hasher.buckets(x[mine], t)[:, 0] if hasher else np.zeros(len(mine), np.int64)), False
+                    for at in range(0, len(asks), ASKED):
+                        some = asks[at : at + ASKED]
+                        probed = hasher.buckets(x[some], t, True) if hasher else np.zeros((len(some), 1), np.int64)
+                        yield dim, t, part, np.repeat(some, probed.shape[1]), base + probed.ravel(), True
 
     def sizes(batches):
         for batch in batches:

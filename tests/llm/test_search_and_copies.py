@@ -159,3 +159,25 @@ def test_query_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
     assert got.fingerprint.tolist() == [f"{simhash.fingerprint(t):016x}" for _, t in docs]
     assert got.component_id.tolist() == classes(got.doc_id.tolist(), [int(f, 16) for f in got.fingerprint], 2)
+
+
+@pytest.mark.parametrize("kind", ["one long", "heavy tail", "two crowds"])
+def test_recall_with_unequal_norms(spark, kind):
+    """Norms of any spread leave the recall; scores are inner products of the original vectors."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(1500, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if kind == "one long":
+        x[7] *= 100
+    elif kind == "heavy tail":
+        x *= (1 + rng.pareto(1.0, (1500, 1)))
+    else:
+        x[::2] *= 30.0 * rng.uniform(0.98, 1.02, (750, 1))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann.search(df, lambda i: i % 20 == 0, k=20).toPandas()
+    s = x[::20] @ x.T
+    s[np.arange(75), np.arange(0, 1500, 20)] = -np.inf
+    hit = sum(len(set(got[got.query_id == 20 * q].vec_id) & set(np.argsort(-s[q])[:20].tolist())) for q in range(75))
+    assert (got.groupby("query_id").size() == 20).all() and got.query_id.nunique() == 75
+    assert hit / (75 * 20) >= 0.9
+    assert np.allclose(got.score, [s[q // 20, v] for q, v in zip(got.query_id, got.vec_id)])
