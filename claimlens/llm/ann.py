@@ -24,6 +24,8 @@ TARGET, CROWDED = 4096, 32_768
 ROWS = 64
 #: Queries hashed at a time.
 ASKED = 1024
+#: Power of the number of buckets by which probes grow.
+WIDER = 0.75
 #: Largest by smallest norm of a band, and points below which norms share a band
 #: that isn't hashed but met as a whole by every query.
 BAND, SMALL = 1.1, 256
@@ -54,7 +56,8 @@ class Hasher:
         signs = np.random.default_rng(dim)
         self.signs = signs.choice([-1.0, 1.0], (tables, 2, 3, self.width))
         # with a second axis there are more buckets, and a query looks into more
-        self.probes = min(probes * max(1, int(np.sqrt(2 * self.second))), 2 * self.width)
+        more = max(1, 2 * self.second)
+        self.probes = min(int(np.ceil(probes * more**WIDER)), 2 * self.width * more)
 
     def turned(self, x: np.ndarray, query: bool, table: int, which: int) -> np.ndarray:
         if not self.norm:
@@ -144,7 +147,8 @@ def search(rows: DataFrame, is_query, k: int = 20, tables: int = 12, probes: int
     a null or non-finite component take no part; vectors of other lengths than the
     query's are no candidates. Repeated rows count once; a row with the query's
     own id never is its neighbour. Recall is that of the hash tables, norms of any
-    spread included; vectors whose norms are rare are compared with every query."""
+    spread included; vectors whose norms are rare are compared with every query. A
+    query that meets fewer than ``k`` is compared with all vectors of its length."""
     clean = rows.select("vec_id", F.col("embedding").alias("vec")).where(
         F.col("vec_id").isNotNull() & F.col("vec").isNotNull()
         & F.forall("vec", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
@@ -235,13 +239,31 @@ def search(rows: DataFrame, is_query, k: int = 20, tables: int = 12, probes: int
         a, b, c = (np.concatenate(z) for z in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
         return pa.table({"asker": pa.array(a, pa.int64()), "rep": pa.array(b, pa.int64()), "score": pa.array(c, pa.float64())})
 
-    met = (dealt.groupBy("dim", "t", "bucket", "part", "asked").applyInArrow(compare, "asker long, rep long, score double")
-           .groupBy("asker", "rep").agg(F.max("score").alias("score")))
     by = Window.partitionBy("asker")
-    near = met.withColumn("place", F.row_number().over(by.orderBy(F.desc("score"), "rep"))).where(F.col("place") <= k + 1)
-    wide = (near.select("asker", "rep", "score").join(members.select("rep", "vec_id"), "rep")
-            .withColumn("place", F.row_number().over(by.orderBy(F.desc("score"), "vec_id"))).where(F.col("place") <= k + 1))
     own = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (asked.join(wide.select(F.col("asker").alias("rep"), "vec_id", "score"), "rep").where("vec_id != query_id")
-            .withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= k)
-            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
+
+    def ranked(dealt):
+        met = (dealt.groupBy("dim", "t", "bucket", "part", "asked").applyInArrow(compare, "asker long, rep long, score double")
+               .groupBy("asker", "rep").agg(F.max("score").alias("score")))
+        near = met.withColumn("place", F.row_number().over(by.orderBy(F.desc("score"), "rep"))).where(F.col("place") <= k + 1)
+        wide = (near.select("asker", "rep", "score").join(members.select("rep", "vec_id"), "rep")
+                .withColumn("place", F.row_number().over(by.orderBy(F.desc("score"), "vec_id"))).where(F.col("place") <= k + 1))
+        return (asked.join(wide.select(F.col("asker").alias("rep"), "vec_id", "score"), "rep").where("vec_id != query_id")
+                .withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= k)
+                .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
+
+    found = stored(ranked(dealt), "found")
+    # lengths without a hasher were compared in full
+    hashed = [dim for dim, own_bands in plan.value[1].items() if any(h for _, h in own_bands)]
+    few = asked.join(found.groupBy("query_id").agg(F.count("*").alias("n")), "query_id", "left").where(F.coalesce("n", F.lit(0)) < k)
+    short = stored(flagged.join(few.select("rep").distinct(), "rep").where(F.size("vec").isin(hashed)).select("rep", "vec"), "short")
+    if not (left := short.count()):
+        return found
+    points, queries = (-(-n // CROWDED) for n in (sum(s.n for s in shapes), left))
+    block = lambda n: F.pmod(F.xxhash64("rep"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    frame = lambda d, part, who, asks: (d.select("rep", "vec", part.alias("part")).select("*", who.alias("asked")).select(
+        F.size("vec").alias("dim"), F.lit(-1).alias("t"), F.lit(0).cast("long").alias("bucket"), "part", "asked", F.lit(asks).alias("asks"), "rep", "vec"))
+    full = frame(flagged, block(points), every(queries), False).unionByName(frame(short, every(points), block(queries), True))
+    whole = ranked(full)
+    return found.join(short.join(asked, "rep").select("query_id").distinct(), "query_id", "left_anti").unionByName(whole)

@@ -181,3 +181,37 @@ def test_recall_with_unequal_norms(spark, kind):
     assert (got.groupby("query_id").size() == 20).all() and got.query_id.nunique() == 75
     assert hit / (75 * 20) >= 0.9
     assert np.allclose(got.score, [s[q // 20, v] for q, v in zip(got.query_id, got.vec_id)])
+
+
+def test_queries_far_from_all_data(spark, monkeypatch):
+    """A query whose buckets hold fewer than k is compared with everything, in blocks."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 16)) * 0.01
+    x[:, 0] += 1                                               # a narrow crowd
+    x[::100] = -x[::100]                                       # and queries opposite to it
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    for crowded in (32_768, 100):
+        monkeypatch.setattr(ann, "CROWDED", crowded)
+        got = ann.search(df, lambda i: i % 100 == 0, k=20, tables=2, probes=2).toPandas()
+        for q in range(0, 400, 100):
+            own = got[got.query_id == q].sort_values("rank")
+            want = brute(range(400), x, q, 20)
+            assert list(zip(own.vec_id, own.score)) == want and own["rank"].tolist() == list(range(1, 21))
+
+
+@pytest.mark.parametrize("target", [10, 2, 0.5])
+def test_recall_with_second_axis(spark, monkeypatch, target):
+    monkeypatch.setattr(ann, "TARGET", target)
+    x = np.array([r[0] for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").select("embedding").collect()])
+    h = ann.Hasher(x.shape[1], len(x), 1.0, 1.0, 12, 12)
+    assert h.second
+    seen = np.zeros((100, len(x)), bool)
+    for t in range(12):
+        own, probed = h.buckets(x, t)[:, 0], h.buckets(x[::20], t, True)
+        for q in range(100):
+            seen[q] |= np.isin(own, probed[q])
+    s = x[::20] @ x.T
+    s[np.arange(100), np.arange(0, 2000, 20)] = -np.inf
+    recall = np.mean([seen[q, np.argsort(-s[q])[:20]].mean() for q in range(100)])
+    print("second", h.second, "probes", h.probes, "recall", recall)
+    assert recall >= 0.95
