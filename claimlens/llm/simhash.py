@@ -16,6 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from claimlens.llm.base import stored
 
@@ -230,6 +231,15 @@ def components(edges: DataFrame) -> DataFrame:
         cur.select(F.col("u").alias("node"), F.col("u").alias("root"))).distinct()
 
 
+def roots(prints: DataFrame, radius: int) -> DataFrame:
+    """(fp, first, root), one row per distinct fingerprint of ``prints`` (doc_id, fp):
+    its smallest doc_id, and the smallest fingerprint of its class."""
+    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    segments = 4 if distinct.count() <= FINE_FROM else 8
+    found = components(links(tiled(distinct, radius, segments), radius))
+    return distinct.join(found, distinct.fp == found.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def near_copies(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per row of ``docs`` (doc_id, text).
 
@@ -239,11 +249,7 @@ def near_copies(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataFrame
     null doc_id have a class too, but never name one: a class of only such rows
     has a null component_id. Repeated doc_ids give a row each."""
     prints = stored(fingerprints(docs, shingle), "prints")
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    segments = 4 if distinct.count() <= FINE_FROM else 8
-    found = components(links(tiled(distinct, radius, segments), radius))
-    rooted = distinct.join(found, distinct.fp == found.node, "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = roots(prints, radius)
     alone = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     ids = rooted.join(alone, "root").select("fp", "component_id")
     return prints.join(ids, "fp").select(
@@ -251,14 +257,28 @@ def near_copies(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataFrame
 
 
 def keep_first(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataFrame:
-    """One row of ``docs`` (all columns) of each class: the row of the smallest
-    doc_id. Of rows that repeat that doc_id, the first by text stays. Rows with a
-    null doc_id stay, since nothing names them."""
-    from pyspark.sql import Window
-
-    kept = near_copies(docs, radius, shingle).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi")
-    order = Window.partitionBy("doc_id").orderBy("text")
-    rank = "_rank_" + "_".join(docs.columns)
-    named = named.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank)
-    return named.select(docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    """One row of ``docs`` (all columns) of each class: the first by doc_id, nulls
+    last, then by text, a null text first. It's chosen by row, so a row whose doc_id
+    repeats in another class stands for its own class only."""
+    fp, place = (f"_{x}_" + "_".join(docs.columns) for x in ("fp", "row"))
+    at = docs.columns.index("text")
+    names = [*docs.columns, fp]
+    schema = StructType([*docs.schema.fields, StructField(fp, LongType())])
+
+    def run(batches):
+        for b in batches:
+            own = np.array([fingerprint(t, shingle) for t in b.column(at).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(own, pa.int64())], names=names)
+
+    by_text = lambda c: F.struct(F.col(c).isNotNull(), F.coalesce(F.col(c), F.lit("")))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    # of each fingerprint and doc_id one row; many copies with one id or none meet map-side
+    rows = stored(docs.mapInArrow(run, schema).groupBy(F.col(fp).alias("fp"), "doc_id").agg(F.min_by(row, by_text("text")).alias(place)), "rows")
+    ids = rows.select("fp", "doc_id")
+    classes = stored(roots(ids, radius).select("fp", "root"), "classes")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"))
+    first = (ids.groupBy("fp").agg(F.min(order).alias("key")).join(classes, "fp")
+             .groupBy("root").agg(F.min("key").alias("key")))
+    kept = (rows.join(classes.join(first, "root"), "fp").where(F.col("doc_id").eqNullSafe(F.col("key.id")))
+            .groupBy("root").agg(F.min_by(place, by_text(f"{place}.text")).alias(place)))
+    return kept.select(*(F.col(f"{place}.`{c}`").alias(c) for c in docs.columns))

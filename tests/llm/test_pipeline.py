@@ -48,3 +48,17 @@ def test_stage_edge_cases(spark):
         assert out.columns == both.columns
         out.count()
     assert decontam.keep_clean(odd, spark.read.parquet(f"{SF}/benchmark.parquet")).count() == 3
+
+
+def test_one_row_of_each_class_stays(spark):
+    """Copies without an id are copies too, and a repeated id stands for each of its classes."""
+    a, b, c = (" ".join(f"{w}{k}" for k in range(60)) for w in ("alpha", "beta", "gamma"))
+    rows = [(None, a, 1), (None, a, 2), (7, a, 3), (None, c + " end", 4), (None, c + " end", 5), (3, b, 6), (5, b, 7), (5, c, 8), (9, None, 9), (None, "", 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    got = simhash.keep_first(docs, radius=2, shingle=3)
+    assert got.schema.fieldNames() == docs.columns
+    first = {simhash.fingerprint(t): t for _, t, _ in rows}
+    assert len(first) == 5
+    assert sorted((r.doc_id or 0, (r.text or "")[:3]) for r in got.collect()) == [(0, "gam"), (3, "bet"), (5, "gam"), (7, "alp"), (9, "")]
+    nulls = spark.createDataFrame([(None, t) for t in (a, b, a, b, a)], "doc_id string, text string")
+    assert sorted(r.text for r in simhash.keep_first(nulls).collect()) == [a, b]
