@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from claimlens.llm import ann, arc, bytecnn, chat, decontam, langid, licenses, pieces, simhash, wrappers
+from claimlens.llm import ann, arc, audit, bytecnn, centroids, chat, decontam, langid, licenses, pieces, secret_scan, simhash, wrappers
 from claimlens.llm.base import held_out, table
 
 QUERIES: dict = {}
@@ -165,3 +165,117 @@ def op10(spark, sf_dir):
     net = bytecnn.fit(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
     return bytecnn.score(docs, net).select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def _op11_sql(k: int = 40, rounds: int = 5, dims: int = 64) -> str:
+    """Every round as two tables: assignment (smallest distance, then number) and new centroids."""
+    sql = f"""
+WITH good AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+              WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims}),
+rows0 AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, v FROM good),
+c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY h, v) - 1 AS INTEGER) AS c, v
+       FROM (SELECT sha256('2:' || vec_id) AS h, v FROM good WHERE vec_id IS NOT NULL ORDER BY h, v LIMIT {k})),"""
+    far = "list_sum(list_transform(list_zip(a.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    for i in range(rounds + 1):
+        sql += f"""
+near{i} AS MATERIALIZED (SELECT r, vec_id, v, best.c AS c, best.d AS d FROM (
+        SELECT r, any_value(a.vec_id) AS vec_id, any_value(a.v) AS v, min({{'d': CAST({far} AS BIGINT), 'c': b.c}}) AS best
+        FROM rows0 a, c{i} b GROUP BY r)),"""
+        if i < rounds:
+            sql += f"""
+mean{i} AS MATERIALIZED (SELECT c, list(m ORDER BY j) AS v FROM (
+        SELECT c, j, CAST(CASE WHEN sum(x) >= 0 THEN sum(x) // count(*) ELSE -((-sum(x) + count(*) - 1) // count(*)) END AS BIGINT) AS m
+        FROM (SELECT c, unnest(v) AS x, unnest(range({dims})) AS j FROM near{i}) GROUP BY c, j) GROUP BY c),
+c{i + 1} AS MATERIALIZED (SELECT b.c, coalesce(m.v, b.v) AS v FROM c{i} b LEFT JOIN mean{i} m USING (c)),"""
+    return sql + f"""
+per AS (SELECT c, CAST(sum(d) AS BIGINT) AS own FROM near{rounds} GROUP BY c)
+SELECT vec_id, n.c AS cluster, d AS distance, own AS cluster_inertia, (SELECT CAST(sum(own) AS BIGINT) FROM per) AS inertia,
+       sha256(array_to_string(b.v, ',')) AS centroid_sha256
+FROM near{rounds} n JOIN per USING (c) JOIN c{rounds} b USING (c)
+"""
+
+
+@query("op11_centroid_clustering", _op11_sql())
+def op11(spark, sf_dir):
+    return centroids.cluster(table(spark, sf_dir, "embeddings", "vec_id", "embedding")).drop("centroid")
+
+
+def _either_case(words: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words)
+
+
+#: Where matches lie follows from the text between them. The checksum is CRC-32 by its table of 256.
+_CRC = "list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"
+_CRC32 = f"xor(list_reduce(list_prepend(4294967295, list_transform(range(1, 31), lambda i: CAST(ascii(substr(m, CAST(i AS INTEGER) + 4, 1)) AS BIGINT))), lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295)"
+_DIGITS = " || ".join(f"substr('{secret_scan.BASE62}', CAST((sum // {62 ** k}) % 62 AS INTEGER) + 1, 1)" for k in range(5, -1, -1))
+_ASSIGN = ("(?:" + "|".join(_either_case(w) for w in ("password", "passwd", "secret", "token")) + "|" + _either_case("api") + "_?" + _either_case("key")
+           + """)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""")
+_KINDS = (("assign", _ASSIGN, f"length(regexp_extract(m, '{_ASSIGN}', 1)) >= 6"), ("access", "AKIA[A-Z0-9]+", "length(m) >= 20"),
+          ("hex", "[0-9a-f]+", "length(m) >= 24"), ("github", "gh[pousr]_[0-9A-Za-z]{36}", None), ("npm", "npm_[0-9A-Za-z]{36}", None))
+OP12_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+crc AS MATERIALIZED (SELECT {_CRC} AS crc),
+found AS (""" + " UNION ALL ".join(f"""
+    SELECT r, {k} AS k, '{kind}' AS kind, m, CAST(before + sum(length(m) + gap) OVER (PARTITION BY r ORDER BY i) - length(m) - gap AS BIGINT) AS a,
+           {f"{test}" if test else "NULL"} AS good
+    FROM (SELECT r, i, ms[i] AS m, length(gaps[1]) AS before, length(gaps[i + 1]) AS gap
+          FROM (SELECT r, ms, gaps, unnest(range(1, len(ms) + 1)) AS i
+                FROM (SELECT r, regexp_extract_all(t, '{expr}') AS ms, string_split_regex(t, '{expr}') AS gaps FROM docs)))"""
+    for k, (kind, expr, test) in enumerate(_KINDS)) + f"""),
+summed AS (SELECT f.*, CASE WHEN good IS NULL THEN {_CRC32} END AS sum FROM found f, crc),
+kept AS (SELECT r, k, kind, a, a + length(m) AS z FROM summed WHERE coalesce(good, {_DIGITS} = right(m, 6))),
+told AS (SELECT r, count_if(k = 0) AS n_assign, count_if(k = 1) AS n_access, count_if(k = 2) AS n_hex,
+                string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, k) FILTER (k < 3) AS base,
+                string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, k) AS spans FROM kept GROUP BY r)
+SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access,
+       CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN told USING (r)
+"""
+
+
+@query("op12_secret_scan", OP12_SQL)
+def op12(spark, sf_dir):
+    """Base kinds are counted and digested; ``spans`` also lists the tokens with a checksum."""
+    got = secret_scan.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+    base = ("assign", "access", "hex")
+    told = lambda x: F.concat_ws(":", x["kind"], x["begin"], x["end"])
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+    own = F.array_join(F.transform(F.filter("spans", lambda x: x["kind"].isin(*base)), told), ",")
+    return got.select("doc_id", *[count(k).alias(f"n_{k}") for k in base], F.sha2(own.cast("binary"), 256).alias("base_sha256"),
+                      F.array_join(F.transform("spans", told), ",").alias("spans"))
+
+
+_BIT = "CASE {} " + " ".join(f"WHEN '{f}' THEN {b}" for f, b in audit.BITS.items()) + " END"
+OP13_SQL = f"""
+WITH docs AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+split AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, doc_id > min(doc_id) OVER (PARTITION BY t) AS later FROM docs),
+known AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+flags AS (SELECT part, good, toxic,
+       CASE WHEN len(w) < 100 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 2 ELSE 0 END
+       + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 4 ELSE 0 END
+       + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN later THEN 16 ELSE 0 END AS mask FROM split LEFT JOIN known USING (doc_id)),
+counts AS (SELECT part, mask, count(*) AS docs, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic FROM flags GROUP BY part, mask),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (SELECT a.f || b.f || c.f || d.f || e.f AS o FROM letters a, letters b, letters c, letters d, letters e
+           WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (SELECT o, CAST(s AS INTEGER) AS s, substr(o, s, 1) AS f, {_BIT.format("substr(o, s, 1)")} AS bit,
+                 coalesce(list_sum(list_transform(range(1, s), lambda i: {_BIT.format("substr(o, CAST(i AS INTEGER), 1)")})), 0) AS before
+          FROM (SELECT o, CAST(unnest(range(1, 6)) AS INTEGER) AS s FROM orders)),
+rows AS (SELECT part, o AS filter_order, s AS step, f AS filter,
+       sum(CASE WHEN mask & before = 0 AND mask & bit = 0 THEN docs ELSE 0 END) AS kept,
+       sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN docs ELSE 0 END) AS removed,
+       sum(CASE WHEN mask & before <> 0 AND mask & bit <> 0 THEN docs ELSE 0 END) AS redundant,
+       sum(CASE WHEN mask = bit THEN docs ELSE 0 END) AS unique_fails,
+       sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN good ELSE 0 END) AS good_lost,
+       sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+       FROM (SELECT part, mask, docs, good, toxic, CAST(before AS BIGINT) AS before, o, s, f, bit FROM counts, steps) GROUP BY part, o, s, f)
+SELECT part, filter_order, step, filter, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
+FROM rows
+"""
+
+
+@query("op13_filter_audit", OP13_SQL)
+def op13(spark, sf_dir):
+    return audit.audit(table(spark, sf_dir, "documents", "doc_id", "text", "lang"), table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
