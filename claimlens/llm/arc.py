@@ -4,9 +4,11 @@ ARC files (versions 1 and 2) hold a header line per record whose fields depend o
 the version that the file states first, and a declared length. The converter
 parses them and synthesises what WARC needs beyond that: record ids, ISO
 timestamps, types, digests. Archives are written and read through Spark's text
-and binary-file sources, so they can lie in any store that Spark reads; the
-separators between rows of the text writer are the separators that both formats
-put between records.
+and binary-file sources, so they can lie in any store that Spark reads. A row of
+the text writer is one whole file of bounded size.
+
+Payloads are never shuffled while the index of repeated digests can be broadcast:
+the ARC files are read once for digests and ids, and once more to be converted.
 """
 
 from __future__ import annotations
@@ -23,10 +25,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.session import scratch_dir
+from claimlens.session import scratch_dir, stored
 
-#: Records of an archive file, its own first record included.
-PER_FILE = 20_000
+#: Bytes after which an archive file ends (before compression); a record is never cut.
+FILE_BYTES = 16_000_000
+#: Repeated digests up to which their index is broadcast; beyond, records meet it in a shuffle.
+INDEX_ROWS = 500_000
+#: Parts that a digest is dealt to in that shuffle, so that a common payload is no one task's work.
+SALTS = 16
 #: Field names by ARC version, as its files state them (fixed values).
 ARC_FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
@@ -53,10 +59,36 @@ def http_block(page_id, payload: bytes) -> bytes:
 
 
 def _files(path: str, rows: DataFrame, separator: str) -> None:
-    rows.write.option("lineSep", separator).option("compression", "gzip").option("maxRecordsPerFile", PER_FILE).text(path)
+    # fast compression: these files are read back once or twice
+    (rows.write.option("lineSep", separator).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+         .option("maxRecordsPerFile", 1).text(path))
+
+
+def _packed(records, first: str, separator: str, file_bytes: int):
+    """Batches of one row, the text of a whole file: ``first`` and then records until
+    ``file_bytes`` is reached. A repeated task packs alike."""
+    def row():
+        return pa.RecordBatch.from_arrays([pa.array([separator.join([first, *own])], pa.string())], names=["value"])
+
+    own, size = [], 0
+    for record in records:
+        own.append(record)
+        size += len(record)
+        if size >= file_bytes:
+            yield row()
+            own, size = [], 0
+    if own:
+        yield row()
 
 
-def write_arc(pages: DataFrame, path: str, date: str = "20200101000000") -> None:
+def _rows(batches, size: int = 200):
+    """Rows of Arrow batches as Python tuples, so many at a time."""
+    for b in batches:
+        for lo in range(0, b.num_rows, size):
+            yield from zip(*(c.to_pylist() for c in b.slice(lo, size).columns), strict=True)
+
+
+def write_arc(pages: DataFrame, path: str, date: str = "20200101000000", file_bytes: int = FILE_BYTES) -> None:
     """One ARC record per row of (page_id, url, html); a null html is empty. Files
     of even partitions are of version 1, of odd ones of version 2."""
     def run(batches):
@@ -64,18 +96,13 @@ def write_arc(pages: DataFrame, path: str, date: str = "20200101000000") -> None
         about = f"{version} 0 converter\n{ARC_FIELDS[version]}\n"
         more = "" if version == 1 else " 200 - - 0 -"
         first = f"filedesc://pages.arc 0.0.0.0 {date} text/plain{more} {len(about)}\n{about}"
-        n = 0
-        for b in batches:
-            out = []
-            for page_id, url, html in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if n % PER_FILE == 0:
-                    out.append(first)
-                    n += 1
-                block = http_block(page_id, (html or "").encode())
-                extra = "" if version == 1 else f" 200 {base32_sha1(block)} - 0 pages.arc"
-                out.append(f"{clean_url(url)} 0.0.0.0 {date} text/html{extra} {len(block)}\n{block.decode()}")
-                n += 1
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+
+        def record(page_id, url, html):
+            block = http_block(page_id, (html or "").encode())
+            extra = "" if version == 1 else f" 200 {base32_sha1(block)} - 0 pages.arc"
+            return f"{clean_url(url)} 0.0.0.0 {date} text/html{extra} {len(block)}\n{block.decode()}"
+
+        yield from _packed((record(*r) for r in _rows(batches)), first, "\n", file_bytes)
 
     _files(path, pages.select("page_id", "url", "html").mapInArrow(run, "value string"), "\n")
 
@@ -114,44 +141,59 @@ def _binary(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
 
 
-def read_arc(spark: SparkSession, path: str) -> DataFrame:
-    """(page_id, url, ip, date, head, payload, payload_bytes, payload_digest) of each record."""
-    names = ["page_id", "url", "ip", "date", "head", "payload", "payload_bytes", "payload_digest"]
+_PARSED = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("url", pa.string()),
+                     ("ip", pa.string()), ("date", pa.string()), ("head", pa.string()), ("payload", pa.string())])
+
+
+def read_arc(spark: SparkSession, path: str, bodies: bool = True) -> DataFrame:
+    """(page_id, payload_bytes, payload_digest, url, ip, date, head, payload) of each record,
+    without ``bodies`` the first three only."""
+    form = _PARSED if bodies else pa.schema(list(_PARSED)[:3])
 
     def run(batches):
+        out, held = [], 0
         for b in batches:
             for content in b.column(0):
-                out, held = [], 0
                 for fields, block in arc_records(gzip.GzipFile(fileobj=io.BytesIO(content.as_buffer()))):
                     headers, head, payload = _http(block)
                     own = headers.get("x-page-id", "")
-                    out.append((int(own) if own else None, fields["URL"], fields["IP-address"], fields["Archive-date"],
-                                head.decode(), payload.decode(), len(payload), base32_sha1(payload)))
-                    held += len(payload)
+                    row = (int(own) if own else None, len(payload), base32_sha1(payload))
+                    if bodies:
+                        row += (fields["URL"], fields["IP-address"], fields["Archive-date"], head.decode(), payload.decode())
+                    out.append(row)
+                    held += len(payload) + 500 if bodies else 100
                     if held > 4_000_000:
-                        yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in out], _PARSED)
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), form, strict=True)], schema=form)
                         out, held = [], 0
-                if out:
-                    yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in out], _PARSED)
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), form, strict=True)], schema=form)
 
-    return _binary(spark, path).mapInArrow(
-        run, "page_id long, url string, ip string, date string, head string, payload string, payload_bytes long, payload_digest string")
+    more = ", url string, ip string, date string, head string, payload string" if bodies else ""
+    return _binary(spark, path).mapInArrow(run, "page_id long, payload_bytes long, payload_digest string" + more)
 
 
-_PARSED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("ip", pa.string()), ("date", pa.string()), ("head", pa.string()),
-                     ("payload", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string())])
+def repeated(records: DataFrame, least: int = 0) -> DataFrame:
+    """(payload_digest, newest): digests that occur more than once among records with at
+    least ``least`` payload bytes, and the largest page_id of each (null if none has one)."""
+    return (records.where(F.col("payload_bytes") >= least).groupBy("payload_digest")
+            .agg(F.max("page_id").alias("newest"), F.count("*").alias("n")).where("n > 1").select("payload_digest", "newest"))
 
 
-def with_types(records: DataFrame, least: int = 0) -> DataFrame:
+def with_types(records: DataFrame, index: DataFrame, least: int = 0, limit: int = INDEX_ROWS) -> DataFrame:
     """Adds ``refers_to``: null for a response, else the page_id of the response
     with the same payload, which is the largest. Records with fewer payload bytes
     than ``least`` are all responses, and so are those without any page_id of that
-    payload."""
-    index = (records.where(F.col("payload_bytes") >= least).groupBy("payload_digest")
-             .agg(F.max("page_id").alias("newest"), F.count("*").alias("n")).where("n > 1").select("payload_digest", "newest"))
-    same = F.col("newest").isNull() | F.col("page_id").eqNullSafe(F.col("newest"))
-    return records.join(index, "payload_digest", "left").select(
-        *records.columns, F.when(~same, F.col("newest")).alias("refers_to"))
+    payload. ``index`` is ``repeated`` of the same records, as a stored table."""
+    keys = ["payload_digest"]
+    if index.limit(limit + 1).count() <= limit:
+        index = F.broadcast(index)
+    else:  # the part follows from the input split, so a task that runs again deals alike
+        keys.append("_salt")
+        index = index.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        records = records.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    same = F.col("newest").isNull() | F.col("page_id").eqNullSafe(F.col("newest")) | (F.col("payload_bytes") < least)
+    return records.join(index, keys, "left").select(
+        *[c for c in records.columns if c != "_salt"], F.when(~same, F.col("newest")).alias("refers_to"))
 
 
 def _warc_date(date: str) -> str:
@@ -162,35 +204,26 @@ def _record_id(page_id, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(_NAMES, f'{page_id} {digest}')}>"
 
 
-def write_warc(records: DataFrame, path: str) -> None:
+def write_warc(records: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> None:
     """WARC files of ``with_types(read_arc(...))``. A revisit keeps the stored
     HTTP headers and refers to the response's record id, which follows from that
     record's page_id and digest, so a repeated task writes the same records."""
     columns = ["page_id", "url", "ip", "date", "head", "payload", "payload_digest", "refers_to"]
 
+    def record(page_id, url, ip, date, head, payload, digest, refers_to):
+        block = head + "\r\n\r\n" + ("" if refers_to is not None else payload)
+        kind = "response" if refers_to is None else (
+            f"revisit\r\nWARC-Profile: {REVISIT}\r\nWARC-Refers-To: {_record_id(refers_to, digest)}\r\n"
+            f"WARC-Refers-To-Page: {refers_to}")
+        return (f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: {_record_id(page_id, digest)}\r\nWARC-Date: {_warc_date(date)}\r\n"
+                f"WARC-Target-URI: {url}\r\nWARC-IP-Address: {ip}\r\nWARC-Payload-Digest: sha1:{digest}\r\n"
+                f"Content-Type: application/http; msgtype=response\r\nContent-Length: {len(block.encode())}\r\n\r\n{block}")
+
     def run(batches):
         about = "software: converter\r\nformat: WARC File Format 1.1\r\n"
         first = (f"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: {_record_id('', 'warcinfo')}\r\nWARC-Date: 2020-01-01T00:00:00Z\r\n"
                  f"Content-Type: application/warc-fields\r\nContent-Length: {len(about)}\r\n\r\n{about}")
-        n = 0
-        for b in batches:
-            for lo in range(0, b.num_rows, 500):
-                out = []
-                for page_id, url, ip, date, head, payload, digest, refers_to in zip(
-                        *(c.to_pylist() for c in b.slice(lo, 500).columns), strict=True):
-                    if n % PER_FILE == 0:
-                        out.append(first)
-                        n += 1
-                    block = head + "\r\n\r\n" + ("" if refers_to is not None else payload)
-                    kind = "response" if refers_to is None else (
-                        f"revisit\r\nWARC-Profile: {REVISIT}\r\nWARC-Refers-To: {_record_id(refers_to, digest)}\r\n"
-                        f"WARC-Refers-To-Page: {refers_to}")
-                    out.append(
-                        f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: {_record_id(page_id, digest)}\r\nWARC-Date: {_warc_date(date)}\r\n"
-                        f"WARC-Target-URI: {url}\r\nWARC-IP-Address: {ip}\r\nWARC-Payload-Digest: sha1:{digest}\r\n"
-                        f"Content-Type: application/http; msgtype=response\r\nContent-Length: {len(block.encode())}\r\n\r\n{block}")
-                    n += 1
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+        yield from _packed((record(*r) for r in _rows(batches)), first, "\r\n\r\n", file_bytes)
 
     _files(path, records.select(*columns).mapInArrow(run, "value string"), "\r\n\r\n")
 
@@ -243,17 +276,19 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, date string, record_id string")
 
 
-def convert(spark: SparkSession, arc: str, warc: str, least: int = 0) -> DataFrame:
+def convert(spark: SparkSession, arc: str, warc: str, least: int = 0, file_bytes: int = FILE_BYTES, limit: int = INDEX_ROWS) -> DataFrame:
     """Convert the ARC files below ``arc`` to WARC files below ``warc``; returns what is read back."""
-    write_warc(with_types(read_arc(spark, arc), least), warc)
+    index = stored(repeated(read_arc(spark, arc, bodies=False), least), "repeated")
+    write_warc(with_types(read_arc(spark, arc), index, least, limit), warc, file_bytes)
     return read_warc(spark, warc)
 
 
-def archive(pages: DataFrame, least: int = 0) -> DataFrame:
-    """ARC files of ``pages`` (page_id long, url, html), converted to WARC in the
-    shared folder and read back, one row per page. Repeated rows are records each;
-    a null page_id is kept; an empty table gives no rows."""
+def archive(pages: DataFrame, least: int = 0, file_bytes: int = FILE_BYTES, limit: int = INDEX_ROWS) -> DataFrame:
+    """ARC files of ``pages`` (page_id long, url, html; other columns are ignored), converted to
+    WARC in the shared folder and read back, one row per page. Repeated rows are records each; a
+    null page_id is kept; an empty table gives no rows. A file holds ``file_bytes`` of records, the
+    last one whole; so many repeated digests as ``limit`` are broadcast, more meet the records in a shuffle."""
     spark = pages.sparkSession
     arc, warc = scratch_dir(spark, "arc"), scratch_dir(spark, "warc")
-    write_arc(pages, arc)
-    return convert(spark, arc, warc, least)
+    write_arc(pages, arc, file_bytes=file_bytes)
+    return convert(spark, arc, warc, least, file_bytes, limit)

@@ -31,7 +31,7 @@ def test_arc_by_version(version):
     assert got[0][0]["IP-address"] == "1.2.3.4" and got[0][0]["Archive-date"] == "19970102030405"
     assert ("Result-code" in got[0][0]) == (version == 2)
     with pytest.raises(ValueError):
-        list(arc.arc_records(io.BytesIO(arc_file(version)[:-1] + b"")) if False else list(arc.arc_records(io.BytesIO(arc_file(version)[:-80]))))
+        list(arc.arc_records(io.BytesIO(arc_file(version)[:-80])))
 
 
 def rows():
@@ -55,23 +55,24 @@ def expected(pages, least=0):
 order = lambda x: tuple((v is None, v) for v in x)
 
 
-@pytest.mark.parametrize("least", [0, 5])
-def test_archive(spark, monkeypatch, least):
-    monkeypatch.setattr(arc, "PER_FILE", 4)
+@pytest.mark.parametrize("least,limit", [(0, 500_000), (5, 500_000), (0, 0), (5, 1)])
+def test_archive(spark, least, limit):
+    """Files of a few records, with the index of repeated digests broadcast and shuffled."""
     df = spark.createDataFrame(rows(), "page_id long, url string, html string, payload_digest int").repartition(3)
-    got = arc.archive(df, least).collect()
+    got = arc.archive(df, least, file_bytes=1000, limit=limit).collect()
     names = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     assert sorted([tuple(r[n] for n in names) for r in got], key=order) == sorted(expected(rows(), least), key=order)
     assert {r.date for r in got} == {"2020-01-01T00:00:00Z"}
     assert arc.archive(df.limit(0)).count() == 0
 
 
-def test_files_are_warc(spark, tmp_path, monkeypatch):
-    """Each file opens on its own, begins with its own record, and revisits name response records."""
-    monkeypatch.setattr(arc, "PER_FILE", 3)
+def test_files_are_warc(spark, tmp_path):
+    """Each file opens on its own, begins with its own record, and revisits name response records.
+    A file ends with the record that reaches the bound, so a long page has no later ones beside it."""
     df = spark.createDataFrame(rows(), "page_id long, url string, html string, n int").coalesce(2)
-    arc.write_arc(df, f"file://{tmp_path}/arc")
-    arc.convert(spark, f"file://{tmp_path}/arc", f"file://{tmp_path}/warc").count()
+    arc.write_arc(df, f"file://{tmp_path}/arc", file_bytes=600)
+    arc.convert(spark, f"file://{tmp_path}/arc", f"file://{tmp_path}/warc", file_bytes=1500).count()
+    assert len(list(tmp_path.glob("arc/*.gz"))) >= 3
     ids, to, n = set(), set(), 0
     for f in tmp_path.glob("warc/*.gz"):
         data = gzip.decompress(f.read_bytes())
