@@ -354,6 +354,50 @@ def s1_csv_scan(spark, sf_dir):
     return df.withColumn("INSR_BEGIN", DT.parse_policy_date("INSR_BEGIN"))
 
 
+_NOTE_SQL = """CASE WHEN tie1 % 7 = 0 THEN 'two' || chr(10) || 'lines, "' || tie2 || '"' WHEN tie1 % 7 = 1 THEN NULL ELSE 'back\\slash' END"""
+
+
+@query("s1_csv_by_header", with_policies(f"""
+SELECT OBJECT_ID, tie1, tie2, PREMIUM, "USAGE", CASE WHEN batch_id < 5 THEN NULL ELSE {_NOTE_SQL} END AS NOTE,
+       CAST(CASE WHEN batch_id < 5 THEN tie1 END AS DOUBLE) AS WEIGHT, CAST(NULL AS DOUBLE) AS CCM_TON,
+       row_number() OVER (ORDER BY batch_id >= 5, row_index) - 1 AS position
+FROM policies"""))
+def s1_csv_by_header(spark, sf_dir):
+    """Two folders of CSV files with their own column orders, a column of their own each,
+    one that both lack, and quoted line ends in the second: read by name, in file order."""
+    from pyspark.sql import types as T
+    src = policies(spark, sf_dir)
+    common = [F.coalesce(F.col("PREMIUM").cast("string"), F.lit("NaN")).alias("PREMIUM"), F.coalesce("USAGE", F.lit("NA")).alias("USAGE"), "tie2", "OBJECT_ID", "tie1"]
+    first, second = scratch_dir(spark, "header_csv"), scratch_dir(spark, "header_csv")
+    for path, rows in ((first, src.where("batch_id < 5").select("row_index", *common, F.col("tie1").alias("WEIGHT"))),
+                       (second, src.where("batch_id >= 5").select("row_index", *reversed(common), F.expr(_NOTE_SQL.replace("\\", "\\\\")).alias("NOTE")))):
+        rows.orderBy("row_index").drop("row_index").write.option("header", True).option("escape", '"').csv(path)
+    schema = T.StructType([T.StructField("OBJECT_ID", T.LongType()), T.StructField("tie1", T.LongType()), T.StructField("tie2", T.LongType()),
+                           T.StructField("PREMIUM", T.DoubleType()), T.StructField("USAGE", T.StringType()), T.StructField("CCM_TON", T.DoubleType())])
+    got = SB.read_ordered(spark, [first, second], schema)
+    return got.select("OBJECT_ID", "tie1", "tie2", "PREMIUM", "USAGE", "NOTE", "WEIGHT", "CCM_TON", F.col("row_index").alias("position"))
+
+
+def _fallback(branch):
+    """S12 by one of its branches: the cleaned table without its batch 3, the cleaned CSV, or the last of two raw CSVs."""
+    def run(spark, sf_dir):
+        none, csv, other = (scratch_dir(spark, "fallback") for _ in range(3))
+        c = cleaned(spark, sf_dir).select(*KEYS, "PREMIUM", "USAGE")
+        if branch == "table":
+            SB.write_batches(c.where("batch_id <> 3"), none)
+        c.write.option("header", True).csv(csv + ".csv")
+        c.limit(1).write.option("header", True).csv(other + ".csv")
+        got = SB.load_cleaned(spark, none, csv + ".csv" if branch == "csv" else other, [other + ".csv", csv + ".csv"])
+        return got.select(*[F.col(k).cast(c.schema[k].dataType).alias(k) for k in KEYS], "PREMIUM", "USAGE")
+    return run
+
+
+_FALLBACK_SQL = f'SELECT {KEYS_SQL}, PREMIUM, "USAGE" FROM cleaned'
+query("s12_cleaned_table", with_cleaned(_FALLBACK_SQL + " WHERE batch_id < 3"))(_fallback("table"))
+query("s12_cleaned_csv", with_cleaned(_FALLBACK_SQL))(_fallback("csv"))
+query("s12_raw_csv", with_cleaned(_FALLBACK_SQL))(_fallback("raw"))
+
+
 # ---- E1-E7 preparation ----------------------------------------------------------------
 _NUM_PREP = ["INSURED_VALUE", "PREMIUM", "PROD_YEAR", "SEATS_NUM", "CARRYING_CAPACITY", "CCM_TON",
              "policy_duration_days", "premium_per_seat", "insured_value_per_ton", "claim_ratio", "is_claim",

@@ -14,13 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimlens.operators.positions import assign_batches, with_row_index
-
-# ---------------------------------------------------------------------------
-# The tokens pandas' CSV reader treats as missing by default.
-PANDAS_NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
-                    "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
-                    "nan", "null")
-# ---------------------------------------------------------------------------
+from claimlens.sources.csvfiles import read_sources
 
 METADATA_SCHEMA = T.StructType([
     T.StructField("batch_id", T.IntegerType()),
@@ -35,38 +29,20 @@ META_FIELDS = [f.name for f in METADATA_SCHEMA.fields if f.name != "batch_id"]
 
 
 # ---- S1 -------------------------------------------------------------------
-def read_policies(spark: SparkSession, paths, schema: T.StructType, extra=()) -> DataFrame:
-    """CSV with header; pandas' NA tokens become NULL; values are cast
-    with ``try_cast`` to ``schema`` (bad values -> NULL, never an error).
+def read_policies(spark: SparkSession, paths, schema: T.StructType | None) -> DataFrame:
+    """CSV by its header: the columns of ``schema`` by name (absent: NULL; a bad
+    value: NULL, never an error), then the others with inferred types. pandas' NA tokens
+    are NULL, quotes may be doubled, quoted values may hold line ends (``csvfiles``).
 
     Dates stay strings here; P1/P2 parse them.
     """
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = (spark.read.schema(as_text).option("header", True).option("mode", "PERMISSIVE")
-           .option("nullValue", "\u0000").option("emptyValue", "").csv(paths))
-    na = F.array(*[F.lit(t) for t in PANDAS_NA_TOKENS])
-
-    def clean(f):
-        c = F.when(F.array_contains(na, F.col(f.name)), F.lit(None)).otherwise(F.col(f.name))
-        if isinstance(f.dataType, T.StringType):
-            return c.alias(f.name)
-        c = F.trim(c).try_cast(f.dataType)
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):   # other spellings of NaN
-            c = F.when(~F.isnan(c), c)
-        return c.alias(f.name)
-    return raw.select(*[clean(f) for f in schema.fields], *extra)
-
-
-def read_ordered(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    return read_sources(spark, [paths], schema).drop("source_ord", "row_index")
+
+
+def read_ordered(spark: SparkSession, paths: list[str], schema: T.StructType | None) -> DataFrame:
     """S1 and S2 for files: each CSV in file order, one after the other, with one
-    position across all of them."""
-    out = None
-    for k, path in enumerate(paths):
-        own = read_policies(spark, path, schema, extra=(F.col("_metadata.file_path").alias("_file"),
-                                                        F.col("_metadata.file_block_start").alias("_at")))
-        own = own.withColumn("source_ord", F.lit(k)).withColumn("_mono", F.monotonically_increasing_id())
-        out = own if out is None else out.unionByName(own)
-    return with_row_index(out, ["source_ord", "_file", "_at", "_mono"]).drop("_file", "_at", "_mono", "source_ord")
+    position across all of them and no sort."""
+    return read_sources(spark, paths, schema).drop("source_ord")
 
 
 # ---- S2, S3 ----------------------------------------------------------------
@@ -207,18 +183,16 @@ def ingest(spark: SparkSession, rows: DataFrame, raw_path: str, meta_path: str,
 def load_cleaned(spark: SparkSession, cleaned_table: str, cleaned_csv: str | None, raw_paths: list[str],
                  csv_schema: T.StructType | None = None) -> DataFrame:
     """The cleaned batches (contiguous prefix, all batches together),
-    else a cleaned CSV, else the **last** raw source."""
+    else a cleaned CSV, else the **last** raw source. CSV is read by S1, so its missing
+    tokens and types are the same with and without a schema."""
     t = read_batch_table(spark, cleaned_table)
     if t is not None and t.limit(1).count() > 0:
         return contiguous_batches(t)
     if cleaned_csv:
         try:
-            return read_policies(spark, cleaned_csv, csv_schema) if csv_schema \
-                else spark.read.option("header", True).csv(cleaned_csv)
+            return read_policies(spark, cleaned_csv, csv_schema)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
     last = raw_paths[-1]
-    if last.endswith(".csv") and csv_schema is not None:
-        return read_policies(spark, last, csv_schema)
-    return spark.read.parquet(last)
+    return read_policies(spark, last, csv_schema) if last.endswith(".csv") else spark.read.parquet(last)
