@@ -149,7 +149,8 @@ def latest_versions(registry: DataFrame) -> DataFrame:
 
 # ---- M6-M9 -----------------------------------------------------------------------
 KINDS = ("decision_tree", "sgd", "knn")
-REGISTRY = "name string, variant string, version string, path string, split_idx long"
+#: ``prepared``: the folder of the tables and fitted parameters that a model was trained with.
+REGISTRY = "name string, variant string, version string, path string, split_idx long, prepared string"
 
 
 @dataclass
@@ -160,6 +161,7 @@ class Trained:
     path: str
     split_idx: int
     model: object = None
+    prepared: str | None = None
 
 
 def version_stamp() -> str:
@@ -204,31 +206,45 @@ def load_model(kind: str, path: str, spark):
 
 
 def train_all(prepared_a: DataFrame, prepared_b: DataFrame, feature_cols: list[str], models_dir: str,
-              settings: Settings = DEFAULTS, kinds=KINDS) -> list[Trained]:
+              settings: Settings = DEFAULTS, kinds=KINDS, version: str | None = None, prepared: str | None = None) -> list[Trained]:
     """M6: three models x two scalings on the time-ordered first 80 %; every saved
-    model is registered below ``models_dir``."""
+    model is registered below ``models_dir``, with the folder ``prepared`` that holds what it was trained with."""
     from claimlens.operators.positions import temporal_split
-    version = version_stamp()
+    version = version or version_stamp()
     out = []
     for variant, table in (("A", prepared_a), ("B", prepared_b)):
         split = temporal_split(table, settings.train_split)
         first = split.select("split_idx").first()
         train = split.where("is_train")
         for kind in kinds:
-            path = f"{models_dir}/{kind}_{variant}_{version}"
+            path = model_path(models_dir, kind, variant, version)
             m = fit_model(kind, train, feature_cols, path, settings)
-            out.append(Trained(kind, variant, version, path, first[0] if first else 0, m))
+            out.append(Trained(kind, variant, version, path, first[0] if first else 0, m, prepared))
     register(table.sparkSession, out, models_dir)
     return out
 
 
+def model_path(models_dir: str, kind: str, variant: str, version: str) -> str:
+    """All that belongs to a version lies in a folder of its own."""
+    return f"{models_dir}/{version}/{kind}_{variant}"
+
+
 def register(spark, trained: list[Trained], models_dir: str) -> None:
-    rows = [(t.name, t.variant, t.version, t.path, t.split_idx) for t in trained]
-    spark.createDataFrame(rows, REGISTRY).coalesce(1).write.mode("append").parquet(f"{models_dir}/registry")
+    """The manifest of each version, one file, written when everything that it names
+    is there: a version without one does not exist."""
+    for version in sorted({t.version for t in trained}):
+        rows = [(t.name, t.variant, t.version, t.path, t.split_idx, t.prepared) for t in trained if t.version == version]
+        spark.createDataFrame(rows, REGISTRY).coalesce(1).write.parquet(f"{models_dir}/{version}/manifest")
 
 
 def registry(spark, models_dir: str) -> DataFrame:
-    return spark.read.schema(REGISTRY).parquet(f"{models_dir}/registry")
+    """The manifests of all versions; none where nothing is registered yet."""
+    try:
+        return spark.read.schema(REGISTRY).parquet(f"{models_dir}/*/manifest")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], REGISTRY)
 
 
 def stored_versions(spark, models_dir: str) -> list[Trained]:
@@ -236,21 +252,29 @@ def stored_versions(spark, models_dir: str) -> list[Trained]:
     return [Trained(**r.asDict()) for r in registry(spark, models_dir).orderBy("version", "variant", "name").collect()]
 
 
+def opened(t: Trained, spark):
+    """The model, or None, with a warning, where its files are gone."""
+    try:
+        return t.model if t.model is not None else load_model(t.name, t.path, spark)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        warnings.warn(f"no files of model {t.path}", stacklevel=2)
+        return None
+
+
 def validate(trained: list[Trained], tables: dict, feature_cols: list[str], settings: Settings = DEFAULTS,
              spark=None) -> DataFrame:
-    """M8: each version scored on the newest 20 % of its own variant (Q5 fix);
-    one grouped A19 over the union of all predictions. A version whose files are
-    gone is skipped with a warning; it is an error if none is left."""
+    """M8 for models that were trained with the parameters of ``tables``: each scored on the
+    newest 20 % of its own variant (Q5 fix); one grouped A19 over the union of all predictions. A
+    version whose files are gone is skipped with a warning; it is an error if none is left.
+    Versions of several trainings: ``plans.versions.validate_versions``."""
     from claimlens.operators.positions import temporal_split
     preds = None
     for t in trained:
         test = temporal_split(tables[t.variant], settings.train_split).where("NOT is_train")
-        try:
-            model = t.model if t.model is not None else load_model(t.name, t.path, spark)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            warnings.warn(f"no files of model {t.path}", stacklevel=2)
+        model = opened(t, spark)
+        if model is None:
             continue
         p = predictions(t.name, model, test, feature_cols, settings).select(
             F.col(settings.target).alias("y"), "prediction", F.lit(f"{t.name}_{t.variant}_{t.version}").alias("model"))

@@ -195,6 +195,8 @@ class Prepared:
     feature_cols: list
     numeric_cols: list
     categorical_cols: list
+    #: the rows in time order (``row_index``) before anything is dropped or fitted; not stored with the rest
+    ordered: DataFrame | None = None
 
 
 def _base(cleaned: DataFrame, settings: Settings, tie_cols) -> DataFrame:
@@ -207,8 +209,7 @@ def _base(cleaned: DataFrame, settings: Settings, tie_cols) -> DataFrame:
     for step in reversed(steps) if settings.claim_ratio_fill == "median" else steps:
         df = step(df)
     df = order_by_start(df, tie_cols, "_pos")
-    df = df.drop("row_index").withColumnRenamed("_pos", "row_index")
-    return X.drop_columns(df, settings.drop_columns)
+    return df.drop("row_index").withColumnRenamed("_pos", "row_index")
 
 
 def _fitted_on(df: DataFrame, settings: Settings) -> DataFrame:
@@ -225,7 +226,8 @@ def prepare(cleaned: DataFrame, settings: Settings = DEFAULTS, tie_cols=("batch_
     What several fits read lies in the shared folder: the positions' table, the
     encoded rows, and each small parameter table. Nothing is cached."""
     t = settings.target
-    base = _base(cleaned, settings, tie_cols)
+    ordered = _base(cleaned, settings, tie_cols)
+    base = X.drop_columns(ordered, settings.drop_columns)
     num = [f.name for f in base.schema.fields
            if isinstance(f.dataType, NumericType) and f.name not in BOOKKEEPING and f.name != t]
     cat = [f.name for f in base.schema.fields
@@ -240,17 +242,20 @@ def prepare(cleaned: DataFrame, settings: Settings = DEFAULTS, tie_cols=("batch_
     sd = scaler_dict(scalers)
     a = scale_standard(base, sd, feats)
     b = scale_minmax(base, sd, feats)
-    return Prepared(a, b, medians, modes, dictionary, scalers, feats, num, cat)
+    return Prepared(a, b, medians, modes, dictionary, scalers, feats, num, cat, ordered)
 
 
 # ---- S13 storage of what was fitted ---------------------------------------------------
 _FITTED = ("table_a", "table_b", "medians", "modes", "dictionary", "scalers")
 
 
-def save_prepared(p: Prepared, root: str) -> None:
-    """Write both tables, every fitted parameter table and the column lists."""
+def save_prepared(p: Prepared, root: str, csv: str | None = None) -> None:
+    """Write both tables, every fitted parameter table and the column lists; with ``csv``,
+    also both tables as CSV with header below that folder."""
     for name in _FITTED:
         getattr(p, name).write.mode("overwrite").parquet(f"{root}/{name}")
+    for name in ("table_a", "table_b") if csv else ():
+        p.table_a.sparkSession.read.parquet(f"{root}/{name}").write.mode("overwrite").option("header", True).csv(f"{csv}/{name}")
     rows = [(kind, k, c) for kind, cols in (("feature", p.feature_cols), ("numeric", p.numeric_cols), ("categorical", p.categorical_cols))
             for k, c in enumerate(cols)]
     p.table_a.sparkSession.createDataFrame(rows, "kind string, ord int, column string").coalesce(1).write.mode("overwrite").parquet(f"{root}/columns")
