@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimlens.operators.state import approximate, batch_state, exact_profile
 from claimlens.operators.stats import bounded_broadcast, data_columns, group_quantiles, unpivot
 from claimlens.session import stored
 from claimlens.settings import DEFAULTS, Settings
@@ -88,13 +89,20 @@ def flag_outliers(df: DataFrame, columns: list[str], batch_col: str = B,
 
 
 def unique_ratios(df: DataFrame, columns: list[str] | None = None, batch_col: str = B,
-                  settings: Settings = DEFAULTS) -> DataFrame:
-    """A4: distinct non-null values / rows per categorical column and batch.
+                  settings: Settings = DEFAULTS, method: str = "exact") -> DataFrame:
+    """A4: distinct non-null values / rows per categorical column and batch. With
+    ``method="approx"`` the distinct values are estimated by the sketches of one scan
+    (``state.batch_state``), for columns whose values are too many to shuffle.
 
     Distinct values are found with a grouped aggregate on the unpivoted form
     (map-side combined), then counted; no per-column distinct jobs.
     """
     cols = [c for c in (columns or settings.categorical_columns) if c in df.columns]
+    if method == "approx":
+        places = F.create_map(*[F.lit(x) for i, c in enumerate(cols) for x in (c, i)])
+        state = approximate(batch_state(df, [], cols, batch_col).where("is_categorical"), [0.5])
+        return state.select(batch_col, "total_rows", F.element_at(places, F.col("column")).alias("col_ord"), "column", "n_unique",
+                            (F.col("n_unique") / F.col("total_rows")).alias("unique_ratio"))
     totals = df.groupBy(batch_col).agg(F.count(F.lit(1)).alias("total_rows"))
     long = unpivot(df, [batch_col], cols, cast="string")
     distinct = (long.where(F.col("value").isNotNull())
@@ -111,20 +119,35 @@ def quality_issues(df: DataFrame, batch_col: str = B, settings: Settings = DEFAU
     """A5 issues: ``batch_id, issue_ord, type, column, value, threshold``.
 
     ``issue_ord`` is the order the reference reports them in: null issues in
-    column order, then outlier issues, then low-cardinality issues.
+    column order, then outlier issues, then low-cardinality issues. With
+    ``settings.few_scans`` the rows are scanned twice (``state.exact_profile``) where that
+    applies, else about seven times, one operator after the other.
     """
     step = max(1000, len(df.columns))     # above any column's position
-    nulls = (null_ratios(df, batch_col=batch_col)
+    seen = exact_profile(df, settings.numeric_columns, None, batch_col, settings) if settings.few_scans and settings.quantile_method == "exact" else None
+    ratios = lambda n: F.col(n) / F.col("total_rows")
+    own = lambda names: {c: i for i, c in enumerate(n for n in names if n in df.columns)}
+    if seen is None:
+        null, outlier, unique = (null_ratios(df, batch_col=batch_col), outlier_profile(df, batch_col=batch_col, settings=settings),
+                                 unique_ratios(df, batch_col=batch_col, settings=settings))
+    else:
+        def placed(flag, names):
+            at = F.create_map(*[F.lit(x) for kv in own(names).items() for x in kv]) if own(names) else F.create_map(F.lit(""), F.lit(0))
+            return seen.where(flag).withColumn("col_ord", F.element_at(at, F.col("column")))
+        null = seen.withColumn("null_ratio", ratios("nulls"))
+        outlier = placed("is_numeric", settings.numeric_columns).withColumn("outlier_ratio", ratios("outliers"))
+        unique = placed("is_categorical", settings.categorical_columns).withColumn("unique_ratio", ratios("n_unique"))
+    nulls = (null
              .where(F.col("null_ratio") > settings.max_null_ratio)
              .select(batch_col, F.col("col_ord").alias("issue_ord"), F.lit("high_null_ratio").alias("type"),
                      "column", F.col("null_ratio").alias("value"),
                      F.lit(settings.max_null_ratio).alias("threshold")))
-    outl = (outlier_profile(df, batch_col=batch_col, settings=settings)
+    outl = (outlier
             .where(F.col("outlier_ratio") > settings.max_outlier_ratio)
             .select(batch_col, (F.col("col_ord") + step).alias("issue_ord"), F.lit("high_outlier_ratio").alias("type"),
                     "column", F.col("outlier_ratio").alias("value"),
                     F.lit(settings.max_outlier_ratio).alias("threshold")))
-    card = (unique_ratios(df, batch_col=batch_col, settings=settings)
+    card = (unique
             .where(F.col("unique_ratio") < settings.min_unique_ratio)
             .select(batch_col, (F.col("col_ord") + 2 * step).alias("issue_ord"), F.lit("low_cardinality").alias("type"),
                     "column", F.col("unique_ratio").alias("value"),
@@ -139,7 +162,7 @@ def quality_summary(df: DataFrame, batch_col: str = B, settings: Settings = DEFA
     Batches without issues score 100.
     """
     from claimlens.settings import SCORE_PENALTY
-    issues = issues if issues is not None else quality_issues(df, batch_col, settings)
+    issues = issues if issues is not None else stored(quality_issues(df, batch_col, settings), "issues")
     n_cols = len(data_columns(df))
     totals = df.groupBy(batch_col).agg(F.count(F.lit(1)).alias("total_rows"))
     counts = issues.groupBy(batch_col).agg(F.count(F.lit(1)).alias("issue_count"))

@@ -83,6 +83,13 @@ def a4_unique_ratios(spark, sf_dir):
     return Q.unique_ratios(df).withColumn("unique_ratio", r6("unique_ratio"))
 
 
+@query("a4_unique_approx", A4_SQL)
+def a4_unique_approx(spark, sf_dir):
+    """By the sketches of one scan: so few distinct values they count exactly."""
+    df = policies(spark, sf_dir, with_index=False)
+    return Q.unique_ratios(df, method="approx").withColumn("unique_ratio", r6("unique_ratio"))
+
+
 # ---- A5 --------------------------------------------------------------------
 def _issues_sql() -> str:
     nulls = union_all_sql([
@@ -137,6 +144,12 @@ def a5_quality_issues(spark, sf_dir):
     return Q.quality_issues(df).withColumn("value", r6("value"))
 
 
+@query("a5_issues_two_scans", A5_ISSUES_SQL)
+def a5_issues_two_scans(spark, sf_dir):
+    df = policies(spark, sf_dir, with_index=False)
+    return Q.quality_issues(df, settings=S.with_(few_scans=True)).withColumn("value", r6("value"))
+
+
 @query("a6_report_rows", A6_SQL)
 def a6_report_rows(spark, sf_dir):
     df = policies(spark, sf_dir, with_index=False)

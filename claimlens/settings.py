@@ -82,6 +82,8 @@ class Settings:
     fit_on: str = "all"
     # claim_ratio / is_claim of rows without a claim: from the filled target ("target") or imputed ("median")
     claim_ratio_fill: str = "target"
+    # quality gates from two scans of the rows instead of about seven (pays where reading dominates)
+    few_scans: bool = False
     # quantiles: "exact" (distributed exact, interpolated) or "approx"
     quantile_method: str = "exact"
 
