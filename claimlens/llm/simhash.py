@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from claimlens.llm.base import stored
 
@@ -257,28 +257,38 @@ def near_copies(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataFrame
 
 
 def keep_first(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataFrame:
-    """One row of ``docs`` (all columns) of each class: the first by doc_id, nulls
-    last, then by text, a null text first. It's chosen by row, so a row whose doc_id
-    repeats in another class stands for its own class only."""
-    fp, place = (f"_{x}_" + "_".join(docs.columns) for x in ("fp", "row"))
-    at = docs.columns.index("text")
-    names = [*docs.columns, fp]
-    schema = StructType([*docs.schema.fields, StructField(fp, LongType())])
+    """One row of ``docs`` (all columns) of each class: the first by doc_id, nulls last, then by
+    the digest of its text, a null text first; of rows alike in both the one whose columns come first
+    as JSON. It's chosen by row, so a row whose doc_id repeats in another class stands for its
+    own class only. An empty table gives no rows.
+
+    Classes are found on (fingerprint, doc_id, digest) alone. The rows meet the chosen ones in one
+    semi join; only chosen ones that occur more than once go through an aggregate."""
+    fp = "_fp_" + "_".join(docs.columns)
+    digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
 
     def run(batches):
         for b in batches:
-            own = np.array([fingerprint(t, shingle) for t in b.column(at).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(own, pa.int64())], names=names)
-
-    by_text = lambda c: F.struct(F.col(c).isNotNull(), F.coalesce(F.col(c), F.lit("")))
+            own = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own, pa.int64()), b.column(2)], names=["doc_id", "fp", "digest"])
+
+    kind = docs.schema["doc_id"].dataType
+    prints = StructType([StructField("doc_id", kind), StructField("fp", LongType()), StructField("digest", BinaryType())])
+    rows = stored(docs.select("doc_id", "text", digest.alias("digest")).mapInArrow(run, prints), "prints")
+    classes = roots(rows, radius).select("fp", "root")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("digest"))
+    first = rows.groupBy("fp").agg(F.min(order).alias("key"))  # copies meet map-side
+    chosen = first.join(classes, "fp").groupBy("root").agg(F.min("key").alias("key")).select(F.col("key.id").alias("_id"), F.col("key.digest").alias("_digest"))
+    chosen = stored(chosen, "chosen")
+    again = stored(rows.groupBy("doc_id", "digest").agg(F.count("*").alias("n")).where("n > 1").join(
+        chosen, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("digest").eqNullSafe(F.col("_digest")), "left_semi").select(
+        F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")), "repeated")
+    own = docs.withColumn(fp, digest)
+    same = lambda t: own["doc_id"].eqNullSafe(t["_id"]) & own[fp].eqNullSafe(t["_digest"])
+    kept = own.join(chosen, same(chosen), "left_semi")
+    if again.limit(1).count() == 0:
+        return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    # of each fingerprint and doc_id one row; many copies with one id or none meet map-side
-    rows = stored(docs.mapInArrow(run, schema).groupBy(F.col(fp).alias("fp"), "doc_id").agg(F.min_by(row, by_text("text")).alias(place)), "rows")
-    ids = rows.select("fp", "doc_id")
-    classes = stored(roots(ids, radius).select("fp", "root"), "classes")
-    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"))
-    first = (ids.groupBy("fp").agg(F.min(order).alias("key")).join(classes, "fp")
-             .groupBy("root").agg(F.min("key").alias("key")))
-    kept = (rows.join(classes.join(first, "root"), "fp").where(F.col("doc_id").eqNullSafe(F.col("key.id")))
-            .groupBy("root").agg(F.min_by(place, by_text(f"{place}.text")).alias(place)))
-    return kept.select(*(F.col(f"{place}.`{c}`").alias(c) for c in docs.columns))
+    once = kept.join(again, same(again), "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    more = own.join(again, same(again), "left_semi").groupBy("doc_id", fp).agg(F.min_by(row, F.to_json(row)).alias("_row"))
+    return once.unionByName(more.select(*(F.col(f"_row.`{c}`").alias(c) for c in docs.columns)))
