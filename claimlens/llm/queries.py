@@ -148,9 +148,11 @@ known AS (SELECT {_DIGEST} AS canonical_digest, min(license_id) AS license_id
           FROM (SELECT license_id, {_canonical_sql("text")} AS c FROM texts) GROUP BY 1),
 docs AS (SELECT row_number() OVER () AS k, doc_id, {_canonical_sql("text")} AS c FROM documents),
 lines AS (SELECT k, sha256(trim(unnest(string_split(c, chr(10))), ' ')) AS canonical_digest FROM docs),
-hits AS (SELECT k, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS line_licenses FROM lines JOIN known USING (canonical_digest) GROUP BY k)
-SELECT doc_id, canonical_digest, license_id, coalesce(line_licenses, '') AS line_licenses
-FROM (SELECT k, doc_id, {_DIGEST} AS canonical_digest FROM docs) d LEFT JOIN known USING (canonical_digest) LEFT JOIN hits USING (k)
+hits AS (SELECT k, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS line_licenses FROM lines JOIN known USING (canonical_digest) GROUP BY k),
+blocks AS (SELECT k, {_DIGEST} AS canonical_digest FROM (SELECT k, unnest(string_split_regex(c, {_text(licenses.BLANK)})) AS c FROM docs) WHERE contains(c, chr(10))),
+more AS (SELECT k, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS block_licenses FROM blocks JOIN known USING (canonical_digest) GROUP BY k)
+SELECT doc_id, canonical_digest, license_id, coalesce(line_licenses, '') AS line_licenses, coalesce(block_licenses, '') AS block_licenses
+FROM (SELECT k, doc_id, {_DIGEST} AS canonical_digest FROM docs) d LEFT JOIN known USING (canonical_digest) LEFT JOIN hits USING (k) LEFT JOIN more USING (k)
 """
 
 

@@ -87,6 +87,34 @@ def test_licences(spark):
     assert licenses.scan(df).count() == len(rows) and licenses.scan(df.limit(0)).count() == 0
 
 
+def test_wrapped_notices_and_whole_licences(spark, tmp_path):
+    """Every known text is found as a whole document under its own copyright line and wrapped at any width, and as a
+    wrapped paragraph inside a longer one; longer licences come from files."""
+    import textwrap
+    wrap = lambda t, n: "\n".join(textwrap.wrap(t, n, break_on_hyphens=False, break_long_words=False))
+    first = {}
+    for name, text in licenses.KNOWN:
+        first.setdefault(text, name)
+    rows, want = [], {}
+    for k, (text, name) in enumerate(first.items()):
+        for width in (40, 57, 80):
+            i = 1000 * k + width
+            rows += [(i, f"Copyright (c) 2001, Some Body <a@b.c>\nAll rights reserved.\n\n{wrap(text, width)}\n"), (i + 500, f"A story.\nMore of it.\n\n  {wrap(text, width)}\n \n\nThe end.")]
+            want[i], want[i + 500] = name, name if "\n" in wrap(text, width) else None
+    (tmp_path / "Long-1.0.txt").write_text("A LONG LICENCE\n\n1. One.\n\n2. Two.\n")
+    rows += [(-1, "Copyright 2020 X\na long license\n1 one\n2 two"), (-2, "and then:\n\na long license 1 one 2 two\n")]
+    known = (*licenses.KNOWN, *licenses.known_files(spark, str(tmp_path)))
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), known).collect()}
+    for i, name in want.items():
+        if i % 1000 < 500:
+            assert got[i].license_id == name, i
+        elif name:
+            assert name in got[i].block_licenses.split(","), i
+            assert got[i].license_id is None
+    assert got[-1].license_id == "Long-1.0" and got[-2].license_id is None and got[-2].line_licenses == "Long-1.0"
+    assert {"BSD-2-Clause", "BSD-3-Clause", "Unlicense", "MPL-2.0", "LGPL-3.0", "AGPL-3.0", "Apache-2.0", "MIT", "ISC"} <= set(first.values())
+
+
 @pytest.mark.parametrize("text", ["", "plain", "<|im_end|>", "<\\|im_end|>", "<\\\\|", "<<||", "\\", "<|", "a\\nb\n", "<\\", "|>", "<|im_start|>assistant\nok<|im_end|>\n"])
 def test_escapes(text):
     assert chat.unescape(chat.escape(text)) == text and "<|" not in chat.escape(text)
