@@ -58,7 +58,9 @@ def _windows(data: bytes, most: int) -> np.ndarray:
 
 def sample(docs: DataFrame, labels: DataFrame, max_docs: int, windows: int):
     """Training rows: (windows, length, label) of at most ``max_docs`` labelled
-    documents outside the held-out fold, chosen by a hash of doc_id."""
+    documents outside the held-out fold, chosen by a hash of doc_id. Of conflicting labels
+    of an id the smallest counts; of several texts of an id the one whose windows come first as bytes,
+    so the net is the same in every run."""
     chosen = (labels.select("doc_id", "quality").where(~held_out() & F.col("quality").isNotNull())
               .groupBy("doc_id").agg(F.min("quality").alias("quality"))
               .orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(max_docs))
@@ -74,8 +76,8 @@ def sample(docs: DataFrame, labels: DataFrame, max_docs: int, windows: int):
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return picked.select("doc_id", "text", "quality").mapInArrow(
-        cut, f"doc_id {kind}, windows binary, n long, quality long").dropDuplicates(["doc_id"]).toPandas().sort_values(
-            "doc_id", ignore_index=True)
+        cut, f"doc_id {kind}, windows binary, n long, quality long").groupBy("doc_id").agg(
+            F.min(F.struct("windows", "n", "quality")).alias("one")).select("doc_id", "one.*").toPandas().sort_values("doc_id", ignore_index=True)
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 4000, windows: int = 6, rounds: int = 10, rate: float = 0.01,

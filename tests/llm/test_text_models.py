@@ -175,3 +175,15 @@ def test_tokenise(spark):
     assert got[0].piece_ids is None and got[1].piece_ids == [] and all(r.n_pieces == len(r.piece_ids or []) for r in got)
     assert pieces.tokenise(df.limit(0)).count() == 0
     assert queries.QUERIES["op2_sentencepiece"](spark, SF).where("exact").count() == 1000
+
+
+def test_repeated_ids_teach_alike_in_every_run(spark):
+    """An id with two texts and two labels gives one training row, whatever the order of the rows."""
+    texts = [(i, f"text {i} " * (i % 7 + 1)) for i in range(40)] + [(i, f"other {i}") for i in range(0, 40, 3)] + [(1, None)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(i, 1) for i in range(0, 40, 4)], "doc_id long, quality int")
+    got = []
+    for parts, order in ((1, 1), (5, -1), (3, 1)):
+        docs = spark.createDataFrame(texts[::order], "doc_id long, text string").repartition(parts)
+        got.append(bytecnn.sample(docs, labels, 100, 3))
+    assert got[0].equals(got[1]) and got[0].equals(got[2]) and got[0].doc_id.is_unique and len(got[0]) > 20
+    assert all(q == 0 for i, q in zip(got[0].doc_id, got[0].quality) if i % 2 == 0)
