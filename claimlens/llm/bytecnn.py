@@ -172,7 +172,8 @@ def score(docs: DataFrame, net: ByteNet) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, net: ByteNet, threshold: float = 0.3) -> DataFrame:
-    """Rows of ``docs`` (all columns) whose text scores at least ``threshold``."""
+    """Rows of ``docs`` (all columns) whose text scores at least ``threshold``. A null text is scored as
+    an empty one; repeated rows stay or go alike; an empty table gives no rows."""
     shared = docs.sparkSession.sparkContext.broadcast(net)
     at = docs.columns.index("text")
 
