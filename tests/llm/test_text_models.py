@@ -1,6 +1,7 @@
 """Language identification, quality classifier and SentencePiece."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -187,3 +188,42 @@ def test_repeated_ids_teach_alike_in_every_run(spark):
         got.append(bytecnn.sample(docs, labels, 100, 3))
     assert got[0].equals(got[1]) and got[0].equals(got[2]) and got[0].doc_id.is_unique and len(got[0]) > 20
     assert all(q == 0 for i, q in zip(got[0].doc_id, got[0].quality) if i % 2 == 0)
+
+
+def slow_grams(text):
+    """Every 4-byte string of the text's lower-case words with one blank between, repeats included."""
+    words = bytes(c if c >= 0x80 or chr(c).isalpha() else 32 for c in text.lower().encode()).split()
+    line = b" " + b" ".join(words) + b" "
+    return [line[k : k + 4] for k in range(len(line) - 3)]
+
+
+def test_languages_against_exact_sets(spark):
+    """The op4 query against plain sets in place of bit-sliced filters: the same language for every document, and
+    scores that the corrected false positives move by little."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()
+    seen, size = {}, Counter()
+    for i, text, lang in docs:
+        if zlib.crc32(str(i).encode()) % 5 and lang is not None and text is not None:
+            seen.setdefault(lang, Counter()).update(set(slow_grams(text)))
+            size[lang] += 1
+    assert max(size.values()) <= 2000     # so all of them are in the sample
+    rate = {lang: {g: n / size[lang] for g, n in c.items() if n >= 2} for lang, c in seen.items()}
+    top = Counter()
+    for r in rate.values():
+        for g, x in r.items():
+            top[g] = max(top[g], x)
+    sets = {lang: {g for g, x in r.items() if x >= 0.05 * top[g]} for lang, r in rate.items()}
+    assert max(map(len, sets.values())) <= 60_000
+    got = {r.doc_id: r for r in queries.QUERIES["op4_language_id"](spark, SF).collect()}
+    assert len(got) == len(docs)
+    for i, text, _ in docs:
+        r = got[i]
+        assert r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0)
+        if text is None or not any(map(str.isalpha, text)):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        hits = {lang: sum(g in own for g in slow_grams(text)) for lang, own in sorted(sets.items())}
+        first, second = sorted(hits.values(), reverse=True)[:2]
+        if first > second:
+            assert hits[r.lang_pred] == first, i
+            assert abs(r.score - first / (first + second)) < 0.03, i
