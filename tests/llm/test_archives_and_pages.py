@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import io
+import random
 
 import pytest
 
@@ -175,3 +176,94 @@ def test_marked_holder_of_the_article():
     assert wrappers.main_text(html, "<article.") == LONG.strip()
     both = f'<body><article><p>{LONG}</p></article><div class="related"><article><p>Teaser</p></article></div></body>'
     assert wrappers.main_text(both, "<article.") == LONG.strip()
+
+
+SAID = "This very sentence stands in the article of each page and belongs to the template only."
+
+
+def texts(spark, htmls, url="http://one.example/p"):
+    df = spark.createDataFrame(list(enumerate(htmls)), "page_id long, html string").selectExpr("page_id", f"'{url}' AS url", "html")
+    return [r.text for r in wrappers.extract(df).orderBy("page_id").collect()]
+
+
+def test_fixed_text_of_the_template_is_no_main_text(spark):
+    body = "<html><body><article><h1>Head {0}</h1><p>Words of page {0} that no other has.</p>{1}<ul><li>point {0}</ul></article></body></html>"
+    assert texts(spark, [body.format(k, f"<div>{SAID}</div>") for k in range(8)]) == [f"Head {k}\nWords of page {k} that no other has.\npoint {k}" for k in range(8)]
+    # copies of one page show nothing about the template, nor do three pages
+    assert texts(spark, [body.format(1, f"<div>{SAID}</div>")] * 9) == [f"Head 1\nWords of page 1 that no other has.\n{SAID}\npoint 1"] * 9
+    assert all(SAID in t for t in texts(spark, [body.format(k, f"<div>{SAID}</div>") for k in range(3)]))
+    # half of the pages without it: the text is not the template's
+    got = texts(spark, [body.format(k, f"<div>{SAID}</div>" if k % 2 else "<div>other</div>") for k in range(40)])
+    assert sum(SAID in t for t in got) == 20
+    # near copies: same heading and first paragraph, one paragraph of their own
+    near = [f"<article><h1>Head</h1><p>{SAID}</p><div>Part {k} of its own, longer than all that the others share, {'w' * 99}</div></article>" for k in range(9)]
+    assert all(SAID in t for t in texts(spark, near))
+
+
+def test_container_with_a_page_id_in_its_class(spark):
+    html = "<body><div class=menu-bar><p>Menu of page {0}</p></div><div class='post-{0}'><h1>H{0}</h1><p>Long text of page {0}, the words that matter here.</p></div><div class=imprint><p>Imprint {0}</p></div></body>"
+    assert texts(spark, [html.format(k) for k in (7, 17, 140, 2, 33)]) == [f"H{k}\nLong text of page {k}, the words that matter here." for k in (7, 17, 140, 2, 33)]
+
+
+def test_numbers_that_both_pages_have_stay():
+    a, b = (wrappers.skeleton(f"<div class=col-8><p>{k}</p></div><div class=col-4><p>x{k}</p></div><div class=id-{k}>z</div>") for k in (1, 2))
+    assert shape(wrappers.infer([a, b])) == "<div.col-8<p._>p>div<div.col-4<p._>p>div<div.id-*=>div"
+
+
+def test_faint_marks_and_whole_forms(spark):
+    html = "<article><h1>T</h1><section id='related-work'><p>Earlier studies {0}</p></section><p class='ad-hoc'>An ad-hoc way {0}</p></article>"
+    assert texts(spark, [html.format(0)]) == ["T\nEarlier studies 0\nAn ad-hoc way 0"]
+    # an element with such a mark on most pages of the template is a standing part of it
+    own = "<article><h1>T{0}</h1><p>Main words {0} of this page</p><div class='ad-slot'><p>Buy {0}</p></div></article>"
+    assert texts(spark, [own.format(k) for k in range(5)]) == [f"T{k}\nMain words {k} of this page" for k in range(5)]
+    form = "<body><form action=x><div class=menu><p>Menu</p></div><div id=main><p>All the text of an old page {0}</p></div><input name=q></form></body>"
+    assert texts(spark, [form.format(0)]) == ["All the text of an old page 0"]
+    assert texts(spark, ["<article><p>Main words of this page</p><form><p>Search</p></form></article>"]) == ["Main words of this page"]
+
+
+def test_two_templates_of_a_host(spark):
+    one = "<body><div class=top><p>Top</p></div><div class=story><h1>S{0}</h1><p>Story of page {0} at length</p></div><table><tr><td>t{0}</table></body>"
+    two = "<body><section><h2>x</h2><blockquote>y{0}</blockquote></section><main><h3>M{0}</h3><pre>Main of page {0} at length</pre></main></body>"
+    got = texts(spark, [(one if k % 2 else two).format(k) for k in range(10)])
+    assert got == [f"S{k}\nStory of page {k} at length" if k % 2 else f"M{k}\nMain of page {k} at length" for k in range(10)]
+
+
+def test_lists_of_different_items_align():
+    a, b = wrappers.skeleton("<ul><li>x<li>y</ul>"), wrappers.skeleton("<ul><li><p>x</p></li><li><p>y</p></li></ul>")
+    w = wrappers.infer([a, b])
+    assert all(None not in wrappers.match(w, page) for page in (a, b))
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_match_against_pages_made_from_a_wrapper(seed):
+    """Pages drawn from a wrapper whose tags all differ: every token comes back to the item that made it."""
+    rng, n = random.Random(seed), iter(range(10_000))
+
+    def block(depth):
+        name = f"<x{next(n)}."
+        inner = [part(depth - 1) for _ in range(rng.randrange(3))] if depth else []
+        return [["t", name], *inner, *([["s", 1]] if rng.random() < 0.5 else []), ["t", ">" + name[1:-1]]]
+
+    def part(depth):
+        group = block(depth)
+        return [rng.choice("+?"), group]
+
+    def write(items, out):
+        for w in items:
+            if w[0] in "+?":
+                for _ in range(rng.randrange(1, 4) if w[0] == "+" else rng.randrange(2)):
+                    write(w[1], out)
+            else:
+                out.append((f"#1.{rng.randrange(99)}" if w[0] == "s" else w[1], w))
+
+    wrapper = [x for _ in range(3) for x in ([part(2)] if rng.random() < 0.5 else block(2))]
+    for _ in range(5):
+        made = []
+        write(wrapper, made)
+        got = wrappers.match(wrapper, [t for t, _ in made])
+        assert all(g is w for g, (_, w) in zip(got, made, strict=True))
+        # a stretch that the wrapper doesn't know leaves all else in place
+        at = rng.randrange(len(made) + 1)
+        extra = [t for t, _ in made[:at]] + ["<odd.", "#3.3", ">odd"] + [t for t, _ in made[at:]]
+        got = wrappers.match(wrapper, extra)
+        assert got[at] is None and got[at + 2] is None
