@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, LongType, StructField, StructType
 
 from claimlens.operators.quality import quality_summary
 from claimlens.settings import DEFAULTS, Settings
@@ -74,16 +74,26 @@ def stream_ingest(spark: SparkSession, source_path: str, schema: StructType, raw
     return q
 
 
-def _stage(batch: DataFrame, epoch_id: int, path: str) -> tuple[DataFrame, DataFrame]:
+def rows_of_batches(spark: SparkSession, path: str, ids: list, schema: StructType) -> DataFrame:
+    """The stored rows of some batches, read from their own directories: neither what is
+    listed nor what is read grows with the number of stored batches."""
+    if not ids:
+        return spark.createDataFrame([], schema)
+    if not isinstance(schema["batch_id"].dataType, IntegralType):   # other ids are escaped in names
+        return spark.read.schema(schema).parquet(path).where(F.col("batch_id").isin(ids))
+    return spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/batch_id={i}" for i in ids])
+
+
+def _stage(batch: DataFrame, epoch_id: int, path: str) -> tuple[DataFrame, list]:
     """Keep the micro-batch under (batch_id, epoch), so a replayed epoch replaces
     itself, and return the whole of what arrived so far of every batch it touches,
-    with the touched ids. A batch may come in any number of files and epochs."""
+    with the touched ids (one number per batch of the micro-batch). A batch may come
+    in any number of files and epochs; rows without a batch id belong to none."""
     spark = batch.sparkSession
     batch.withColumn("epoch", F.lit(int(epoch_id))).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic").partitionBy("batch_id", "epoch").parquet(path)
-    stored = spark.read.parquet(path)
-    touched = stored.where(F.col("epoch") == int(epoch_id)).select("batch_id").distinct()
-    whole = stored.join(touched, "batch_id", "left_semi").drop("epoch")
+    touched = sorted(r[0] for r in batch.select("batch_id").distinct().collect() if r[0] is not None)
+    whole = rows_of_batches(spark, path, touched, StructType([*batch.schema.fields, StructField("epoch", LongType())]))
     return whole.select(*batch.columns), touched
 
 
@@ -129,9 +139,10 @@ def stream_analyse(spark: SparkSession, source_path: str, schema: StructType, ro
     Every output holds whole batches and is replaced batch by batch, from all that
     arrived of a batch so far; so a batch may come in several files, and a replayed
     epoch changes nothing. The drift reference is fitted once all reference batches
-    are stored, and again whenever one of them grows; drift is computed for the
-    touched batches and for those that wait for a reference, so the result does not
-    depend on the order in which files arrive."""
+    are stored, and again whenever one of them grows, and all drift follows from it
+    then, also that of batches that waited for it; any other epoch works on the batches
+    it touches alone and reads nothing else. So the result does not depend on the order
+    in which files arrive, and the cost of an epoch not on what is stored."""
     from claimlens.functions.features import create_features
     from claimlens.operators.dedup import dedup_first
     from claimlens.operators.drift import detect_drift, fit_reference
@@ -144,9 +155,9 @@ def stream_analyse(spark: SparkSession, source_path: str, schema: StructType, ro
         _replace(quality_summary(whole, settings=settings), paths["quality_summary"])
         clean = create_features(dedup_first(whole, list(settings.dedup_keys), tuple(order_cols)), settings)
         _replace(clean, paths["cleaned_batches"])
-        stored = spark.read.parquet(paths["cleaned_batches"])
-        grown = touched.where(F.col("batch_id") < first_scored).limit(1).count() > 0
+        grown = any(i < first_scored for i in touched)
         if grown:
+            stored = spark.read.parquet(paths["cleaned_batches"])
             have = stored.where(F.col("batch_id") < first_scored).select("batch_id").distinct().count()
             if have < first_scored:
                 return
@@ -156,12 +167,9 @@ def stream_analyse(spark: SparkSession, source_path: str, schema: StructType, ro
         ref = _reference(spark, root)
         if ref is None:
             return
-        todo = stored.where(F.col("batch_id") >= first_scored)
-        done = SB.read_batch_table(spark, paths["drift"])
-        if done is not None and not grown:
-            waiting = done.select("batch_id").distinct().join(touched, "batch_id", "left_anti")
-            todo = todo.join(waiting, "batch_id", "left_anti")
-        _replace(detect_drift(todo, settings, reference=ref), paths["drift"])
+        # every scored batch of earlier epochs has its drift from this reference, unless that is new
+        todo = stored if grown else rows_of_batches(spark, paths["cleaned_batches"], touched, clean.schema)
+        _replace(detect_drift(todo.where(F.col("batch_id") >= first_scored), settings, reference=ref), paths["drift"])
 
     q = (stream.writeStream.foreachBatch(analyse).option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())

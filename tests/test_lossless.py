@@ -106,6 +106,41 @@ def test_stream_analysis_of_split_batches_and_replays(spark):
         assert drift.count() == drift.select("batch_id", "column").distinct().count() > 0
 
 
+def test_an_epoch_works_on_its_own_batches(spark, monkeypatch):
+    """Batches wait for the reference, then only what an epoch touches is scored; the drift is the batch job's."""
+    from claimlens.operators import drift as D
+    from claimlens.operators.dedup import dedup_first
+    from claimlens.functions.features import create_features
+    p = policies(spark, SF_SMALL, with_index=False).where("batch_id < 5")
+    src, root = scratch_dir(spark, "order"), scratch_dir(spark, "out")
+    S = DEFAULTS.with_(reference_batches=2)
+    schema, worked, read = p.schema, [], []
+    detect, rows_of = D.detect_drift, ST.rows_of_batches
+    monkeypatch.setattr(D, "detect_drift", lambda df, *a, **k: worked.append(sorted(r[0] for r in df.select("batch_id").distinct().collect())) or detect(df, *a, **k))
+
+    def reading(spark_, path, ids, schema_):
+        df = rows_of(spark_, path, ids, schema_)
+        read.append({f.split("batch_id=")[1].split("/")[0] for f in df.inputFiles()} == {str(i) for i in ids})
+        return df
+    monkeypatch.setattr(ST, "rows_of_batches", reading)
+    ckpt = scratch_dir(spark, "ckpt")
+    for own in (2, 0, 1, 3, 4):
+        p.where(F.col("batch_id") == own).coalesce(1).write.mode("append").parquet(src)
+        paths = ST.stream_analyse(spark, src, schema, root, ckpt, ("tie1", "tie2", "tie3"), S, files_per_batch=1)
+    assert worked == [[2], [3], [4]] and read and all(read)
+    clean = create_features(dedup_first(p, list(S.dedup_keys), ("tie1", "tie2", "tie3")), S)
+    rounded = lambda df: sorted((r.batch_id, r.column, None if r.psi is None else round(r.psi, 9)) for r in df.select("batch_id", "column", "psi").collect())
+    assert rounded(spark.read.parquet(paths["drift"])) == rounded(detect(clean, S))
+
+
+def test_rows_of_batches_without_ids_or_with_text_ids(spark):
+    path = scratch_dir(spark, "ids")
+    df = spark.createDataFrame([("a b", 1), ("c=d", 2)], "batch_id string, x int")
+    df.write.partitionBy("batch_id").parquet(path)
+    assert ST.rows_of_batches(spark, path, [], df.schema).count() == 0
+    assert [r.x for r in ST.rows_of_batches(spark, path, ["c=d"], df.schema).collect()] == [2]
+
+
 SCHEMA = T.StructType([T.StructField(n, t) for n, t in (
     ("SEX", T.StringType()), ("INSR_BEGIN", T.StringType()), ("PREMIUM", T.DoubleType()), ("OBJECT_ID", T.LongType()))])
 
