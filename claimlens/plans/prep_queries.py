@@ -323,6 +323,27 @@ def s9_metadata_upsert(spark, sf_dir):
     return out.drop("ts")
 
 
+@query("s9_compacted_metadata", with_policies(f""", {_BATCHES_SQL},
+m AS (SELECT batch_no AS batch_id, min(row_index) AS index_in_source, count(*) AS size FROM cut GROUP BY batch_no)
+SELECT batch_id, CASE WHEN batch_id = 1 THEN 'again' ELSE 'lineitem;orders;part;customer' END AS sources, index_in_source, size,
+       '1.0.0' AS data_collection_version, CASE WHEN batch_id = 0 THEN '1.0.1' ELSE '1.0.0' END AS data_analysis_version FROM m"""))
+def s9_compacted_metadata(spark, sf_dir):
+    """The stored log after three rounds of changes, each folded into a snapshot, and one change since."""
+    path, m = scratch_dir(spark, "metadata"), _meta(spark, sf_dir)
+
+    def change(rows, **fields):
+        SB.append_metadata(spark, path, rows.select("batch_id", *[
+            F.lit(fields.get(f.name)).cast(f.dataType).alias(f.name) for f in SB.METADATA_SCHEMA.fields if f.name != "batch_id"]))
+    SB.append_metadata(spark, path, m)
+    SB.compact(spark, path)
+    change(m, data_analysis_version="1.0.0")
+    SB.compact(spark, path)
+    change(m.where("batch_id = 0"), data_analysis_version="1.0.1")
+    SB.compact(spark, path)
+    change(m.where("batch_id = 1"), sources="again")
+    return SB.read_metadata(spark, path).drop("ts")
+
+
 @query("s11_contiguous_batches", with_policies("""
 SELECT batch_id, count(*) AS n FROM policies WHERE batch_id < 3 GROUP BY batch_id""", indexed=False))
 def s11_contiguous_batches(spark, sf_dir):

@@ -15,17 +15,7 @@ from pyspark.sql import types as T
 
 from claimlens.operators.positions import assign_batches, with_row_index
 from claimlens.sources.csvfiles import read_sources
-
-METADATA_SCHEMA = T.StructType([
-    T.StructField("batch_id", T.IntegerType()),
-    T.StructField("ts", T.TimestampType()),
-    T.StructField("sources", T.StringType()),
-    T.StructField("index_in_source", T.LongType()),
-    T.StructField("size", T.LongType()),
-    T.StructField("data_collection_version", T.StringType()),
-    T.StructField("data_analysis_version", T.StringType()),
-])
-META_FIELDS = [f.name for f in METADATA_SCHEMA.fields if f.name != "batch_id"]
+from claimlens.sources.metadata import COMPACT_FROM, META_FIELDS, METADATA_SCHEMA, append_metadata, compact, read_metadata  # noqa: F401
 
 
 # ---- S1 -------------------------------------------------------------------
@@ -137,21 +127,6 @@ def read_batches(spark: SparkSession, path: str, batch_col: str = "batch_id") ->
     return contiguous_batches(spark.read.parquet(path), batch_col)
 
 
-def append_metadata(spark: SparkSession, meta_path: str, rows: DataFrame) -> None:
-    """S9 storage: append a version of the changed fields (never rewrite)."""
-    rows.withColumn("_written", F.current_timestamp()).write.mode("append").parquet(meta_path)
-
-
-def read_metadata(spark: SparkSession, meta_path: str) -> DataFrame:
-    """Current metadata: per batch and field, the newest non-NULL value."""
-    log = read_batch_table(spark, meta_path)
-    if log is None:
-        return spark.createDataFrame([], METADATA_SCHEMA)
-    order = F.struct("_written", "index_in_source")
-    return log.groupBy("batch_id").agg(
-        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in META_FIELDS])
-
-
 def ingest(spark: SparkSession, rows: DataFrame, raw_path: str, meta_path: str, sources_name: str,
            batch_size: int, version: str = "1.0.0", index_col: str = "row_index", chunk: int | None = None) -> int:
     """Resume at the stored offset of ``sources_name`` and cut the rest into
@@ -176,6 +151,7 @@ def ingest(spark: SparkSession, rows: DataFrame, raw_path: str, meta_path: str,
         write_batches(todo.where(own), raw_path)
         written = spark.read.parquet(raw_path).where(own)   # prunes to this chunk's partitions
         append_metadata(spark, meta_path, batch_metadata(written, sources_name, version, index_col))
+    compact(spark, meta_path, COMPACT_FROM)
     return total
 
 
