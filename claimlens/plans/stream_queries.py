@@ -5,6 +5,9 @@ equal the batch computation (the oracle)."""
 
 from __future__ import annotations
 
+from itertools import accumulate
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from claimlens.plans.quality_queries import A5_SQL
@@ -15,6 +18,17 @@ from claimlens.streaming import jobs as T
 
 
 _SOURCES: dict = {}
+#: Rows of a file of the policies' source; a batch with more has more than two files.
+FILE_ROWS = 8_000_000
+
+
+def file_of(sizes: dict, per_file: int) -> tuple[Column, int]:
+    """The file of a row, two and more for each batch of ``sizes`` (rows by id), and their number: no two
+    batches or parts of one share a task, and no task has much more than ``per_file`` rows."""
+    parts = {k: max(2, -(-n // per_file)) for k, n in sizes.items()}
+    first = dict(zip(parts, accumulate(parts.values(), initial=0), strict=False))
+    at = F.coalesce(*[F.when(F.col("batch_id").eqNullSafe(F.lit(k)), first[k] + F.pmod(F.xxhash64("tie1", "tie2"), F.lit(n))) for k, n in parts.items()], F.lit(0))
+    return at.cast("int"), max(1, sum(parts.values()))
 
 
 def _policy_files(spark, sf_dir):
@@ -24,7 +38,8 @@ def _policy_files(spark, sf_dir):
     if key not in _SOURCES:
         src = scratch_dir(spark, "policy_files")
         p = policies(spark, sf_dir, with_index=False)
-        p.repartition(16, "batch_id", F.pmod(F.xxhash64("tie1", "tie2"), F.lit(2))).write.partitionBy("batch_id").parquet(src)
+        at, n = file_of({r[0]: r[1] for r in p.groupBy("batch_id").count().collect()}, FILE_ROWS)     # one number per batch
+        p.repartitionById(n, at).write.partitionBy("batch_id").parquet(src)
         _SOURCES[key] = src
     src = _SOURCES[key]
     return src, spark.read.parquet(src).schema
