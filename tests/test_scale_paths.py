@@ -94,3 +94,36 @@ def test_exact_quantiles_fallback_when_bracket_misses(spark):
     assert exact == coarse
     wide = {r.g: tuple(r[1:]) for r in group_quantiles(df, ["g"], "v", probs, accuracy=10).collect()}
     assert exact == wide
+
+
+def test_rows_are_stored_once_and_cleaned_without_positions(spark, monkeypatch, tmp_path):
+    """The positions' table is the stored policies; cleaning alone neither orders nor stores raw rows,
+    and nothing is sorted for a write into one folder for each batch."""
+    import claimlens.session as session
+    from claimlens.sources import fixtures
+    names = []
+    scratch = session.scratch_dir
+    monkeypatch.setattr(session, "scratch_dir", lambda s, name: names.append(name) or scratch(s, name))
+    monkeypatch.setattr(fixtures, "_STORED", {})
+    rows = fixtures.cleaned(spark, SF_SMALL)
+    assert names == ["fixture-cleaned"]
+    own = rows.count()
+    names.clear()
+    indexed = fixtures.policies(spark, SF_SMALL)
+    assert names == ["positions", "offsets"]
+    n = indexed.count()
+    assert sorted(r[0] for r in indexed.select("row_index").collect()) == list(range(n)) and own <= n
+    names.clear()
+    assert fixtures.policies(spark, SF_SMALL, with_index=False).count() == n and not names
+
+
+def test_files_of_a_batch_share_no_task(spark):
+    """Sixteen hashed tasks gave several batches to one; a large batch has more files than two."""
+    from claimlens.plans.stream_queries import file_of
+    sizes = {None: 40, 0: 100, 1: 1000, 7: 300}
+    rows = [(k, i, i % 7) for k, n in sizes.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "batch_id int, tie1 long, tie2 long")
+    at, n = file_of(sizes, 100)
+    assert n == 2 + 2 + 10 + 3
+    got = df.repartitionById(n, at).withColumn("p", F.spark_partition_id()).groupBy("p").agg(F.count_distinct(F.coalesce("batch_id", F.lit(-1))).alias("b"), F.count("*").alias("n")).collect()
+    assert len(got) == n and all(r.b == 1 and r.n < 200 for r in got)
