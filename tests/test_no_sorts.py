@@ -3,10 +3,12 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from claimlens.operators import prepare as E
 from claimlens.operators.dedup import dedup_first
+from claimlens.operators.stats import group_quantiles, unpivot
 from tests.test_plans import plan
 
 
@@ -25,6 +27,32 @@ def test_dedup_keeps_the_first_row_without_sorting_twice_as_wide_rows(spark):
     assert "SortAggregate" not in text and text.count("WindowGroupLimit") >= 2      # a hot key is cut before the shuffle
 
 
+def test_scalers_of_many_columns_are_compiled(spark):
+    cols = [f"c{i}" for i in range(30)]
+    df = spark.range(50).select(*[((F.col("id") * (i + 1)) % 7).cast("double").alias(c) for i, c in enumerate(cols)])
+    got = {r["column"]: r for r in E.fit_scalers(df, cols).collect()}
+    assert [got[c]["col_ord"] for c in cols] == list(range(30))
+    values = {c: [float((k * (i + 1)) % 7) for k in range(50)] for i, c in enumerate(cols)}
+    for c, v in values.items():
+        mean = sum(v) / 50
+        assert got[c]["mean"] == pytest.approx(mean) and (got[c]["min"], got[c]["max"]) == (min(v), max(v))
+        assert got[c]["std"] == pytest.approx((sum((x - mean) ** 2 for x in v) / 50) ** 0.5)
+    # a part's aggregate has fewer fields than spark.sql.codegen.maxFields
+    assert 7 * E.SCALED_AT_ONCE <= int(spark.conf.get("spark.sql.codegen.maxFields", "100"))
+
+
+def test_ranks_are_read_by_compiled_code(spark, monkeypatch):
+    """Rows are compared with their brackets after these are exploded, not by functions over arrays."""
+    from claimlens.operators import stats
+    seen = []
+    own = stats._read_ranks
+    monkeypatch.setattr(stats, "_read_ranks", lambda *a: seen.append(own(*a)) or seen[-1])
+    df = spark.range(101).select(F.col("id").cast("double").alias("x"), (F.col("id") % 3).cast("double").alias("y"))
+    got = {r["column"]: (r.q25, r.q50) for r in group_quantiles(unpivot(df, [], ["x", "y"]), ["column"], "value", [0.25, 0.5]).collect()}
+    assert got == {"x": (25.0, 50.0), "y": (0.0, 1.0)}
+    assert seen and not any("lambdafunction" in plan(d) for d in seen)
+
+
 def test_line_items_are_not_sorted_for_their_orders(spark):
     from claimlens.sources.fixtures import policies
     from tests.conftest import SF_SMALL
