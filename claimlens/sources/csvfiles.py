@@ -80,8 +80,9 @@ def records(spark: SparkSession, sources: list) -> tuple[DataFrame, dict[str, li
     [(layout, place)]. ``row_index`` counts the records of all sources from 0."""
     lines = [_lines(spark, paths, k) for k, paths in enumerate(sources)]
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    # with a set among them the aggregates are hashed by split; a line alone would have all lines sorted
     seen = stored(reduce(DataFrame.unionByName, [_counted(
-        own, F.max((quotes % 2).cast("boolean")).alias("_open"), F.min_by("value", "_place").alias("_line")) for own in lines]), "splits")
+        own, F.array_contains(F.collect_set(quotes % 2), 1).alias("_open"), F.min_by("value", "_place").alias("_line")) for own in lines]), "splits")
     files = seen.groupBy("source_ord", "_file").agg(F.max("_open").alias("_open"), F.min_by("_line", "_start").alias("_line"))
     # one row a file and one number a distinct header: as many as files were named or listed
     heads = [r["_line"] for r in files.select("_line").distinct().orderBy("_line").collect()]

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from claimlens.operators import prepare as E
 from claimlens.operators.dedup import dedup_first
 from claimlens.operators.stats import group_quantiles, unpivot
+from claimlens.session import scratch_dir
+from claimlens.sources import csvfiles
 from tests.test_plans import plan
 
 
@@ -53,6 +55,17 @@ def test_ranks_are_read_by_compiled_code(spark, monkeypatch):
     assert seen and not any("lambdafunction" in plan(d) for d in seen)
 
 
+def test_csv_splits_are_counted_without_sorting_lines(spark, monkeypatch):
+    path = scratch_dir(spark, "csv")
+    spark.range(40).select("id", F.lit("a, b").alias("t")).repartition(3).write.option("header", True).csv(path)
+    plans = []
+    own = csvfiles._counted
+    monkeypatch.setattr(csvfiles, "_counted", lambda *a: plans.append(plan(own(*a))) or own(*a))
+    got = csvfiles.read_sources(spark, [path], None)
+    assert sorted(r.id for r in got.collect()) == list(range(40)) and {r.t for r in got.collect()} == {"a, b"}
+    assert plans and not any("SortAggregate" in p for p in plans)
+
+
 def test_line_items_are_not_sorted_for_their_orders(spark):
     from claimlens.sources.fixtures import policies
     from tests.conftest import SF_SMALL
