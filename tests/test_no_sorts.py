@@ -70,3 +70,16 @@ def test_line_items_are_not_sorted_for_their_orders(spark):
     from claimlens.sources.fixtures import policies
     from tests.conftest import SF_SMALL
     assert "SortMergeJoin" not in plan(policies(spark, SF_SMALL, with_index=False, stored=False))
+
+
+def test_serving_prep_joins_the_tables_once(spark, monkeypatch):
+    """e8 stores the raw rows first, so that the preparation reads them."""
+    import __spark_entry__ as entry
+    from claimlens.plans import job_queries as J
+    from tests.conftest import SF_SMALL
+    order = []
+    own = (J.policies, J._prepared)
+    monkeypatch.setattr(J, "policies", lambda *a, **k: order.append("rows") or own[0](*a, **k))
+    monkeypatch.setattr(J, "_prepared", lambda *a, **k: order.append("prepared") or own[1](*a, **k))
+    entry.queries()["e8_serving_prep"](spark, SF_SMALL)
+    assert order == ["rows", "prepared"]
