@@ -39,7 +39,7 @@ def _policy_files(spark, sf_dir):
         src = scratch_dir(spark, "policy_files")
         p = policies(spark, sf_dir, with_index=False)
         at, n = file_of({r[0]: r[1] for r in p.groupBy("batch_id").count().collect()}, FILE_ROWS)     # one number per batch
-        p.repartitionById(n, at).write.partitionBy("batch_id").parquet(src)
+        p.repartitionById(n, at).write.parquet(src)     # a task has rows of one batch: not sorted by it
         _SOURCES[key] = src
     src = _SOURCES[key]
     return src, spark.read.parquet(src).schema

@@ -72,6 +72,16 @@ def test_line_items_are_not_sorted_for_their_orders(spark):
     assert "SortMergeJoin" not in plan(policies(spark, SF_SMALL, with_index=False, stored=False))
 
 
+def test_a_file_of_the_stream_source_has_one_batch(spark):
+    """Its rows need no sort by batch: no directory of a batch is written."""
+    from claimlens.plans import stream_queries as Q
+    from tests.conftest import SF_SMALL
+    src, schema = Q._policy_files(spark, SF_SMALL)
+    rows = spark.read.schema(schema).parquet(src).select("batch_id", F.input_file_name().alias("f"))
+    assert rows.groupBy("f").agg(F.countDistinct("batch_id").alias("n")).agg(F.max("n")).first()[0] == 1
+    assert rows.where("f like '%batch_id=%'").count() == 0
+
+
 def test_serving_prep_joins_the_tables_once(spark, monkeypatch):
     """e8 stores the raw rows first, so that the preparation reads them."""
     import __spark_entry__ as entry
