@@ -1,11 +1,12 @@
 """Main text of web pages by inferred wrappers.
 
 The pages of a host come from one template or a few. A template's wrapper is a
-union-free regular expression over tags and text: token streams of the host's
-sample are aligned one after the other; where they differ, two texts make a text
+union-free regular expression over tags and text: token streams of all the host's
+pages are aligned one after the other; where they differ, two texts make a text
 slot, a repeated stretch makes a group that may repeat, and what only one of them
-has makes an optional group. Every page is then matched against the wrapper of its
-template. The container whose slots carry the text is the article; a page's main
+has makes an optional group. Wrappers of parts of a host are aligned in the same way,
+part by part. Every page is then matched against the wrapper of its template, which
+counts what is fixed or standing, and again for its text. The container whose slots carry the text is the article; a page's main
 text is what stands in that container, without the texts that the wrapper shows to
 be fixed over unlike pages and without what is marked as something else. A mark
 that says little (``ad-hoc``) counts only where the wrapper has the element as a
@@ -28,8 +29,12 @@ from pyspark.sql import functions as F
 from claimlens.llm.base import stored
 from claimlens.operators.stats import bounded_broadcast
 
-#: Pages of a host that its wrapper is inferred from, chosen by a hash of page_id.
-SAMPLE = 8
+#: Unlike skeletons, or wrappers of parts of a host, that one task aligns at once.
+CHUNK = 256
+#: Leaves of a wrapper, as a multiple of its longest page, above which the rarest optional ones go.
+ROOM = 16
+#: Templates that are kept of a host; pages unlike all of them are templates of their own.
+KINDS = 64
 #: Compressed templates of all hosts that a broadcast may hold.
 BROADCAST_BYTES = 32 << 20
 #: Unlike pages that a text must be the same on, at the same place, to be part of the template.
@@ -178,9 +183,11 @@ def outline(seen) -> tuple[list[str], dict[int, int]]:
     return out + [">" + x for x in reversed(path)], places
 
 
-# A wrapper is a list of items: ["t", tag], ["f", check sum, length] for a fixed text,
-# ["s", length] for a slot with its mean length, ["+", items] for a group that may
-# repeat, ["?", items] for an optional one.
+# A wrapper is a list of items: ["t", tag, pages], ["f", check sum, pages, length] for a
+# fixed text, ["s", pages, length] for a slot, ["+", items] for a group that may repeat,
+# ["?", items] for an optional one, and ["r", lengths] where rare optional items stood
+# (text outside marks, under a part of a class, under a whole mark). ``pages`` says how
+# many were aligned here, lengths are sums over them.
 
 def _same(a, b) -> bool:
     """Whether two items can stand for the same place of the template."""
@@ -188,21 +195,26 @@ def _same(a, b) -> bool:
         return True
     if a[0] != b[0]:
         return False
-    return a[1] == b[1] if a[0] == "t" else len(a[1]) == len(b[1]) and all(map(_same, a[1], b[1]))
+    return a[0] == "r" or (a[1] == b[1] if a[0] == "t" else len(a[1]) == len(b[1]) and all(map(_same, a[1], b[1])))
 
 
 def _merge(a, b):
-    """Of two pages' items: a slot has their mean length."""
+    """Of two pages' items."""
     if a[0] in "fs":
-        return a if a[0] == b[0] == "f" and a[1] == b[1] else ["s", (a[-1] + b[-1]) / 2]
-    return a if a[0] == "t" else [a[0], list(map(_merge, a[1], b[1]))]
+        pages, size = a[-2] + b[-2], a[-1] + b[-1]
+        return ["f", a[1], pages, size] if a[0] == b[0] == "f" and a[1] == b[1] else ["s", pages, size]
+    if a[0] == "t":
+        return ["t", a[1], a[2] + b[2]]
+    return [a[0], [x + y for x, y in zip(a[1], b[1], strict=True)] if a[0] == "r" else list(map(_merge, a[1], b[1]))]
 
 
 def _gather(a, b):
     """Of two turns of a repeated group: a slot has the length of both."""
     if a[0] in "fs":
-        return ["s", a[-1] + b[-1]]
-    return a if a[0] == "t" else [a[0], list(map(_gather, a[1], b[1]))]
+        return ["s", max(a[-2], b[-2]), a[-1] + b[-1]]
+    if a[0] == "t":
+        return ["t", a[1], max(a[2], b[2])]
+    return _merge(a, b) if a[0] == "r" else [a[0], list(map(_gather, a[1], b[1]))]
 
 
 def fold(items: list) -> list:
@@ -210,9 +222,13 @@ def fold(items: list) -> list:
     for width in range(1, LONGEST + 1):
         out, k = [], 0
         while k < len(items):
-            group = items[k : k + width]
             n = k + width
-            whole = len(group) == width and group[0][0] == "t" and group[0][1][0] == "<" and _balanced(group)
+            if n + width > len(items) or items[k][0] != "t" or items[k][1][0] != "<" or not _same(items[k], items[n]):
+                out.append(items[k])
+                k += 1
+                continue
+            group = items[k:n]
+            whole = _balanced(group)
             first = n
             while whole and n + width <= len(items) and all(map(_same, group, items[n : n + width])):
                 group = list(map(_gather, group, items[n : n + width]))
@@ -237,59 +253,134 @@ def _balanced(group: list) -> bool:
     return not depth
 
 
-def align(wrapper: list, page: list) -> list:
-    """The wrapper that also matches ``page``. Equal items are kept, two texts become
-    a slot, a group that repeats in one and stands alone in the other repeats, and
-    what lies between two matches on one side only becomes optional."""
+def align(left: list, right: list) -> list:
+    """The wrapper that matches whatever either of two matches. Equal items are kept, two
+    texts become a slot, a group that repeats in one and stands alone in the other repeats,
+    and what lies between two matches on one side only becomes optional."""
     out, i, j = [], 0, 0
-    where: dict[str, list[int]] = {}
-    for k, x in enumerate(page):
-        where.setdefault(_key(x), []).append(k)
-    while i < len(wrapper):
-        w = wrapper[i]
-        inner = w[1] if w[0] == "?" else [w]
-        if j < len(page) and len(inner) == 1 and _same(inner[0], page[j]):
-            both = _merge(inner[0], page[j])
-            out.append(["?", [both]] if w[0] == "?" else both)
-            i, j = i + 1, j + 1
+    spots: list[dict[str, list[int]]] = [{}, {}]
+    for items, where in zip((left, right), spots, strict=True):
+        for k, x in enumerate(items):
+            where.setdefault(_key(x), []).append(k)
+
+    def ahead(x, items, where, at):
+        places = where.get(_key(x), ())
+        return next((k for k in places[bisect_left(places, at):] if _same(x, items[k])), None)
+
+    while i < len(left) and j < len(right):
+        a, b = left[i], right[j]
+        if a[0] == "r" or b[0] == "r":
+            _put(out, [a if a[0] == "r" else b])
+            i, j = i + (a[0] == "r"), j + (a[0] != "r")
             continue
-        if w[0] == "?":
-            n = len(inner)
-            if len(page) - j >= n and all(map(_same, inner, page[j : j + n])):
-                out.append(["?", list(map(_merge, inner, page[j : j + n]))])
-                i, j = i + 1, j + n
-                continue
-            out.append(w)
+        maybe, other = a[0] == "?", b[0] == "?"
+        one, two = a[1] if maybe else [a], b[1] if other else [b]
+        if len(one) == len(two) and all(map(_same, one, two)):
+            both = list(map(_merge, one, two))
+            out.extend([["?", both]] if maybe or other else both)
+            i, j = i + 1, j + 1
+        elif maybe and not other:
+            n = len(one)
+            if len(right) - j >= n and all(map(_same, one, right[j : j + n])):
+                out.append(["?", list(map(_merge, one, right[j : j + n]))])
+                j += n
+            else:
+                out.append(a)
             i += 1
-            continue
-        if j < len(page):
-            one, many = _alone(w, page, j), _alone(page[j], wrapper, i)
-            if one:
-                out.append(["+", list(map(_merge, w[1], page[j : j + one]))])
-                i, j = i + 1, j + one
-                continue
-            if many:
-                out.append(["+", list(map(_merge, page[j][1], wrapper[i : i + many]))])
-                i, j = i + many, j + 1
-                continue
-        # the nearest place where the page goes on as the wrapper does
-        ahead = next((k for k in where.get(_key(w), ()) if k >= j and _same(w, page[k])), None)
-        back = next((k for k in range(i + 1, len(wrapper)) if j < len(page) and _same(wrapper[k], page[j])), None)
-        if ahead is not None and (back is None or ahead - j <= back - i):
-            out.append(["?", page[j:ahead]])
-            j = ahead
+        elif other and not maybe:
+            n = len(two)
+            if len(left) - i >= n and all(map(_same, two, left[i : i + n])):
+                out.append(["?", list(map(_merge, left[i : i + n], two))])
+                i += n
+            else:
+                out.append(b)
+            j += 1
+        elif maybe:
+            if ahead(b, left, spots[0], i + 1) is None and ahead(a, right, spots[1], j + 1) is not None:
+                out.append(b)
+                j += 1
+            else:
+                out.append(a)
+                i += 1
+        elif n := _alone(a, right, j):
+            out.append(["+", list(map(_merge, a[1], right[j : j + n]))])
+            i, j = i + 1, j + n
+        elif n := _alone(b, left, i):
+            out.append(["+", list(map(_merge, b[1], left[i : i + n]))])
+            i, j = i + n, j + 1
+        else:
+            # the nearest place where one goes on as the other does
+            on, back = ahead(a, right, spots[1], j), ahead(b, left, spots[0], i + 1)
+            if on is not None and (back is None or on - j <= back - i):
+                _put(out, right[j:on])
+                j = on
+            else:
+                end = back if back is not None else i + 1
+                _put(out, left[i:end])
+                i = end
+    _put(out, left[i:])
+    _put(out, right[j:])
+    return out
+
+
+def _put(out: list, stretch: list) -> None:
+    """Appends what only one side has: optional as a whole, or item by item if parts of it are."""
+    if stretch and not any(x[0] in "?r" for x in stretch):
+        out.append(["?", stretch])
+        return
+    for x in stretch:
+        if x[0] == "r" and out and out[-1][0] == "r":
+            out[-1] = _merge(out[-1], x)
         else:
-            end = back if back is not None else i + 1
-            skipped = wrapper[i:end]
-            out.extend(["?", [x]] if x[0] != "?" else x for x in skipped) if any(x[0] == "?" for x in skipped) else out.append(["?", skipped])
-            i = end
-    if j < len(page):
-        out.append(["?", page[j:]])
+            out.append(x if x[0] in "?r" else ["?", [x]])
+
+
+def bounded(wrapper: list, longest: int) -> list:
+    """A wrapper of more than ``ROOM`` times the leaves of its longest page without its
+    rarest optional items, so that half of that is left. All leaves together are aligned with
+    ``longest`` tokens a page at most, so what goes stands on a small share of the pages: it
+    is neither fixed nor standing. The length of its texts stays, for the container's weight."""
+    room = ROOM * max(longest, 1)
+    if sum(1 for _ in _leaves(wrapper)) <= room:
+        return wrapper
+    sizes = {k: [sum(1 for _ in _leaves([x])), max((y[-2] if y[0] != "t" else y[2] for y in _leaves([x]) if y[0] != "r"), default=0)]
+             for k, x in enumerate(wrapper) if x[0] == "?"}
+    left = room // 2 - sum(1 for x in wrapper if x[0] != "?" for _ in _leaves([x]))
+    kept = set()
+    for k in sorted(sizes, key=lambda k: (-sizes[k][1], k)):
+        left -= sizes[k][0]
+        if left < 0:
+            break
+        kept.add(k)
+    out: list = []
+    for k, x in enumerate(wrapper):
+        if x[0] != "?" or k in kept:
+            out.append(x)
+        else:
+            _put(out, [["r", _lengths(x[1])]])
     return out
 
 
+def _lengths(items: list) -> list:
+    sizes, path = [0, 0, 0], []
+    for x in _leaves(items):
+        if x[0] == "t" and x[1][0] == "<":
+            path.append(_apart(x[1]))
+        elif x[0] == "t":
+            if path:
+                path.pop()
+        elif x[0] == "r":
+            level = max(path, default=0)
+            for k, n in enumerate(x[1]):
+                if max(level, k) < 3:
+                    sizes[max(level, k)] += n
+        elif max(path, default=0) < 3:
+            sizes[max(path, default=0)] += x[-1]
+    return sizes
+
+
 def _key(x) -> str:
-    return "#" if x[0] in "fs" else x[1] if x[0] == "t" else x[0] + _key(x[1][0])
+    return "#" if x[0] in "fs" else x[1] if x[0] == "t" else "r" if x[0] == "r" else x[0] + _key(x[1][0])
 
 
 def _alone(group, items: list, at: int) -> int:
@@ -319,22 +410,33 @@ def unify(wrapper: list, page: list) -> None:
                 x[1] = general(x[1])
 
 
-def infer(pages: list[list[str]]) -> list:
-    """Wrapper of skeletons, from the shortest page to the longest."""
+def infer(pages: list[list[str]], counts: list[int] | None = None) -> list:
+    """Wrapper of skeletons, from the shortest page to the longest; of each there are
+    ``counts`` copies. Pages with the same tags are one before they are aligned."""
+    alike: dict[tuple, list] = {}
+    for page, n in sorted(zip(pages, counts or [1] * len(pages), strict=True), key=lambda p: (len(p[0]), p[0])):
+        items = [_text_item(x, n) if x[0] == "#" else ["t", x, n] for x in page]
+        tags = _tags(page)
+        alike[tags] = list(map(_merge, alike[tags], items)) if tags in alike else items
     wrapper: list | None = None
-    for page in sorted(pages, key=lambda p: (len(p), p)):
-        items = fold([_text_item(x) if x[0] == "#" else ["t", x] for x in page])
-        if wrapper is None:
-            wrapper = items
-        else:
-            unify(wrapper, items)
-            wrapper = fold(align(wrapper, items))
+    for tags, items in alike.items():
+        wrapper = fold(items) if wrapper is None else joined(wrapper, fold(items), len(tags))
     return wrapper or []
 
 
-def _text_item(token: str) -> list:
+def joined(left: list, right: list, longest: int) -> list:
+    """Wrapper of two wrappers' pages, of which the longest has ``longest`` tokens."""
+    unify(left, right)
+    return bounded(fold(align(left, right)), longest)
+
+
+def _tags(page: list[str]) -> tuple[str, ...]:
+    return tuple("#" if x[0] == "#" else x for x in page)
+
+
+def _text_item(token: str, n: int = 1) -> list:
     size, _, held = token[1:].partition(".")
-    return ["f", int(held), int(size)]
+    return ["f", int(held), n, n * int(size)]
 
 
 def match(wrapper: list, page: list[str]) -> list:
@@ -348,6 +450,8 @@ def match(wrapper: list, page: list[str]) -> list:
             where.setdefault(key, []).append(k)
 
     def one(w, j, out):
+        if w[0] == "r":
+            return j
         if w[0] in "tfs":
             if j < len(page) and (fits(w[1], page[j]) if w[0] == "t" else page[j][0] == "#"):
                 out.append((j, w))
@@ -382,7 +486,7 @@ def match(wrapper: list, page: list[str]) -> list:
             i, j = i + 1, end
             continue
         first = next(_leaves([wrapper[i]]), None)
-        spots = where.get("#" if first is None or first[0] in "fs" else first[1], ())
+        spots = where.get("#" if first is None or first[0] in "fsr" else first[1], ())
         k = bisect_left(spots, j + 1)
         ahead = spots[k] if k < len(spots) else None
         back = next((k for k in range(i + 1, len(wrapper)) if wrapper[k][0] != "?" and one(wrapper[k], j, []) >= 0), None)
@@ -399,33 +503,83 @@ def _texts(page: list[str]) -> tuple[dict[str, int], set[str]]:
     return {x: int(x[1:].partition(".")[0]) for x in page if x[0] == "#"}, heads
 
 
-def kinds(texts: list[tuple[dict[str, int], set[str]]], held: int) -> int:
-    """How many unlike pages there are, but for texts with the check sum ``held``:
-    pages are alike if they share a heading, or over half of the shorter one's text."""
-    ends = f".{held}"
-    unlike: list[tuple[dict, set]] = []
-    for own, heads in texts:
-        own = {x: n for x, n in own.items() if not x.endswith(ends)}
-        if not any(heads & h or 2 * sum(n for x, n in own.items() if x in t) >= min(sum(own.values()), sum(t.values())) for t, h in unlike):
-            unlike.append((own, heads))
-    return len(unlike)
-
-
-def annotate(wrapper: list, pages: list[list[str]]) -> list:
-    """The wrapper with what its pages show: a fixed text, no heading, that stands on
-    all pages, ``FIXED_FROM`` unlike ones or more, is part of the template (["f",
-    check sum, length, 1]); a tag that stands on three pages or more and on half of
-    them at least is a standing one (["t", tag, 1])."""
-    on: dict[int, set] = {}
-    texts = [_texts(p) for p in pages]
-    for k, page in enumerate(pages):
-        for token, w in zip(page, match(wrapper, page), strict=True):
-            if w is not None and (w[0] == "t" or w[0] == "f" and token not in texts[k][1] and _text_item(token)[1] == w[1]):
-                on.setdefault(id(w), set()).add(k)
-    for w in _leaves(wrapper):
-        seen = on.get(id(w), set())
-        if w[0] == "f" and len(seen) == len(pages) >= FIXED_FROM and kinds(texts, w[1]) >= FIXED_FROM or \
-                w[0] == "t" and w[1][0] == "<" and len(seen) >= 3 and 2 * len(seen) >= len(pages):
+def unlike(pages: list, sizes) -> dict[int, list]:
+    """For each length of a text that stands on all pages, at most ``FIXED_FROM`` unlike
+    ones but for that text, those for a smaller length among them: pages (texts with
+    their lengths, headings) are alike if they share a heading, or over half of the shorter
+    one's text. Of two parts' pages it suffices to give those that it chose of each."""
+    chosen: list = []
+    out = {}
+    for size in sorted(sizes):
+        for own, heads in pages:
+            if len(chosen) >= FIXED_FROM:
+                break
+            total = sum(own.values())
+            if not any(heads & h or 2 * (sum(n for x, n in own.items() if x in t) - size) >= min(total, sum(t.values())) - size for t, h in chosen):
+                chosen.append((own, heads))
+        out[size] = list(chosen)
+    return out
+
+
+def survey(known: list, pages: list[list[str]], counts: list[int]) -> list:
+    """What pages show of their ``templates``: for each [pages, {leaf: pages on which it
+    stands}, {leaf: length} of fixed texts, unlike pages]; a fixed text stands where it is
+    the same and no heading."""
+    shapes = [frozenset(t[0]) for t in known]
+    leaves = [list(_leaves(t[1])) for t in known]
+    numbers = [{id(w): at for at, w in enumerate(own)} for own in leaves]
+    out: list = [[0, {}, {at: w[3] // w[2] for at, w in enumerate(own) if w[0] == "f"}, []] for own in leaves]
+    met: dict = {}
+    seen: list = [[] for _ in known]
+    for page, n in zip(pages, counts, strict=True):
+        tags = _tags(page)
+        if tags not in met:
+            k = nearest(shapes, page)
+            met[tags] = (None, []) if _alone_of_its_kind(shapes, k, page) else (k, [None if w is None else numbers[k][id(w)] for w in match(known[k][1], page)])
+        k, found = met[tags]
+        if k is None:
+            continue
+        own, heads = _texts(page)
+        items = leaves[k]
+        on = {at for token, at in zip(page, found, strict=True) if at is not None and
+              (items[at][0] == "t" or items[at][0] == "f" and token not in heads and _text_item(token)[1] == items[at][1])}
+        out[k][0] += n
+        for at in on:
+            out[k][1][at] = out[k][1].get(at, 0) + n
+        seen[k].append((own, heads))
+    return [_closed(*part[:3], own) for part, own in zip(out, seen, strict=True)]
+
+
+def _closed(total: int, on: dict, fixed: dict, pages: list) -> list:
+    """A part's survey with the unlike ones of its pages, for the fixed texts that stand on all."""
+    got = unlike(pages, {size for at, size in fixed.items() if on.get(at) == total})
+    return [total, on, fixed, [[own, sorted(heads)] for own, heads in max(got.values(), key=len, default=[])]]
+
+
+def added(surveys: list) -> list:
+    """The ``survey`` of all pages from those of parts, as JSON has them."""
+    out = []
+    for parts in zip(*surveys, strict=True):
+        on: dict = {}
+        for p in parts:
+            for at, n in p[1].items():
+                on[at] = on.get(at, 0) + n
+        out.append(_closed(sum(p[0] for p in parts), on, parts[0][2], [(own, frozenset(heads)) for p in parts for own, heads in p[3]]))
+    return out
+
+
+def annotate(wrapper: list, part: list) -> list:
+    """The wrapper with what the ``survey`` of its pages shows: a fixed text, no heading, that
+    stands on all pages, ``FIXED_FROM`` unlike ones or more, is part of the template (["f",
+    check sum, pages, length, 1]); a tag that stands on three pages or more and on half of
+    them at least is a standing one (["t", tag, pages, 1])."""
+    total, on, fixed, pages = part
+    on, fixed = {int(at): n for at, n in on.items()}, {int(at): n for at, n in fixed.items()}
+    got = unlike([(own, frozenset(heads)) for own, heads in pages], {size for at, size in fixed.items() if on.get(at) == total})
+    for at, w in enumerate(_leaves(wrapper)):
+        n = on.get(at, 0)
+        if w[0] == "f" and n == total >= FIXED_FROM and len(got[fixed[at]]) >= FIXED_FROM or \
+                w[0] == "t" and w[1][0] == "<" and n >= 3 and 2 * n >= total:
             w.append(1)
     return wrapper
 
@@ -438,23 +592,51 @@ def _alike(a, b) -> float:
     return len(a & b) / len(a | b) if a or b else 1.0
 
 
-def templates(pages: list[list[str]]) -> list:
-    """(tags, wrapper, start token of the article) of each template of a host, the one
-    with most pages first. A page belongs to the first template whose first page shares
-    half of the tags with it."""
+def nearest(shapes: list, page: list[str]) -> int:
+    """Which template is most like a page."""
+    if len(shapes) == 1:
+        return 0
+    own = _shape(page)
+    return max(range(len(shapes)), key=lambda k: (_alike(shapes[k], own), -k))
+
+
+def _alone_of_its_kind(shapes: list, k: int, page: list[str]) -> bool:
+    """Whether a page may be of a template that wasn't kept: it is unlike even the nearest."""
+    return len(shapes) >= KINDS and _alike(shapes[k], _shape(page)) < ALIKE
+
+
+def gathered(parts: list) -> list:
+    """[tags, wrapper, pages, shortest, longest] of each template of a host from those of
+    parts of it, the one with most pages first. A part belongs to the first template whose
+    shortest page shares half of the tags with its own. ``KINDS`` templates stay."""
     groups: list[tuple[frozenset, list]] = []
-    for page in sorted(pages, key=lambda p: (len(p), p)):
-        own = _shape(page)
+    for part in sorted(parts, key=lambda p: (p[3], sorted(p[0]))):
+        own = frozenset(part[0])
         group = next((g for tags, g in groups if _alike(tags, own) >= ALIKE), None)
         if group is None:
             groups.append((own, group := []))
-        group.append(page)
-    groups.sort(key=lambda g: -len(g[1]))
+        group.append(part)
     out = []
     for tags, group in groups:
-        wrapper = infer(group)
-        out.append([sorted(tags), annotate(wrapper, group), article(wrapper)])
-    return out
+        wrapper, longest = group[0][1], group[0][4]
+        for part in group[1:]:
+            longest = max(longest, part[4])
+            wrapper = joined(wrapper, part[1], longest)
+        out.append([sorted(tags), wrapper, sum(p[2] for p in group), group[0][3], longest])
+    return sorted(out, key=lambda t: -t[2])[:KINDS]
+
+
+def templates(pages: list[list[str]], counts: list[int]) -> list:
+    """``gathered`` of skeletons, of each of which there are ``counts`` copies."""
+    groups: list[tuple[frozenset, list]] = []
+    for page, n in sorted(zip(pages, counts, strict=True), key=lambda p: (len(p[0]), p[0])):
+        own = _shape(page)
+        group = next((g for tags, g in groups if _alike(tags, own) >= ALIKE), None)
+        if group is None:
+            groups.append((own, group := []))
+        group.append((page, n))
+    return gathered([[sorted(tags), infer(*map(list, zip(*group, strict=True))), sum(n for _, n in group), len(group[0][0]), len(group[-1][0])]
+                     for tags, group in groups])
 
 
 @lru_cache(512)
@@ -470,17 +652,20 @@ def page_text(html: str | None, packed: bytes | None) -> str:
     if not known:
         return main_text(html, "", seen)
     own, places = outline(seen)
-    shape = _shape(own) if len(known) > 1 else frozenset()
-    _, wrapper, start = max(known, key=lambda t: _alike(t[0], shape)) if len(known) > 1 else known[0]
+    shapes = [t[0] for t in known]
+    _, wrapper, start = known[k := nearest(shapes, own)]
+    if _alone_of_its_kind(shapes, k, own):
+        wrapper = infer([own])
+        start = article(wrapper)
     found = match(wrapper, own)
     fixed, standing = set(), set()
     for at, k in places.items():
         w = found[k]
-        if w is None or w[-1] != 1:
+        if w is None:
             continue
-        if w[0] == "t" and len(w) == 3:
+        if w[0] == "t" and len(w) == 4:
             standing.add(at)
-        elif w[0] == "f" and len(w) == 4 and _text_item(own[k])[1] == w[1]:
+        elif w[0] == "f" and len(w) == 5 and _text_item(own[k])[1] == w[1]:
             fixed.add(at)
     return main_text(html, start, seen, fixed, standing)
 
@@ -491,35 +676,53 @@ def article(wrapper: list) -> str:
     holds over half of the template's text outside what is marked as something else.
     A part of a class marks no container that holds over half of the text, and no
     mark counts for one that holds over half of it in an ``article`` or ``main`` or beside an h1."""
-    def weigh(apart):
+    def weigh(apart, least):
+        """Of what ``apart`` leaves; of rare items that of marks below ``least``. A container
+        that stands on fewer pages than the text below it counts for their share of it only,
+        and an end closes starts that stand on as many pages in all."""
         weight: dict[tuple, float] = {}
         total = 0.0
+        path: list[str] = []
+        open_: list[int] = []
 
-        def walk(items, path):
+        def walk(items):
             nonlocal total
             for x in items:
                 if x[0] == "t" and x[1][0] == "<":
                     path.append(x[1])
+                    open_.append(x[2])
                 elif x[0] == "t":
-                    if path:
-                        path.pop()
+                    left = x[2]
+                    for k in range(len(path) - 1, -1, -1):
+                        if left and path[k][1:].partition(".")[0] == x[1][1:]:
+                            took = min(left, open_[k])
+                            left -= took
+                            open_[k] -= took
+                            if not open_[k]:
+                                del path[k], open_[k]
                 elif x[0] in "+?":
-                    walk(x[1], path)
-                elif not any(apart(path, k) for k in range(len(path))):
-                    size = x[-1]
+                    walk(x[1])
+                else:
+                    shares = [1.0 if x[0] == "r" else min(1.0, n / x[-2]) for n in open_]
+                    free = 1 - max((shares[k] for k in range(len(path)) if apart(path, k)), default=0.0)
+                    size = free * (sum(x[1][:least]) if x[0] == "r" else x[-1])
+                    if not size:
+                        continue
                     total += size
+                    least_share = 1.0
                     for k in range(1, len(path) + 1):
                         key = tuple(path[:k])
-                        weight[key] = weight.get(key, 0.0) + size
+                        least_share = min(least_share, shares[k - 1])
+                        weight[key] = weight.get(key, 0.0) + size * least_share
 
-        walk(wrapper, [])
+        walk(wrapper)
         return weight, total
 
-    bare, all_ = weigh(lambda path, k: _apart(path[k]) == 3)
+    bare, all_ = weigh(lambda path, k: _apart(path[k]) == 3, 3)
     headed = {k[:n] for k in bare if k[-1].startswith("<h1.") for n in range(1, len(k)) if 2 * bare[k[:n]] > all_}
     strong = lambda path, k: (a := _apart(path[k])) == 3 or a == 2 and tuple(path[: k + 1]) not in headed
-    held, most = weigh(strong)
-    weight, total = weigh(lambda path, k: strong(path, k) or _apart(path[k]) == 1 and 2 * held.get(tuple(path[: k + 1]), 0) <= most)
+    held, most = weigh(strong, 2)
+    weight, total = weigh(lambda path, k: strong(path, k) or _apart(path[k]) == 1 and 2 * held.get(tuple(path[: k + 1]), 0) <= most, 1)
     if not total:
         weight, total = bare, all_
     plain = [k for k in weight if k[-1][1:].partition(".")[0] not in CLOSES and not re.match(r"<h\d\.", k[-1])]
@@ -665,45 +868,101 @@ def host(url):
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1), F.lit("")))
 
 
-def wrappers(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def _unpacked(skeleton: bytes) -> list[str]:
+    return [x for x in zlib.decompress(skeleton).decode().split("\n") if x]
+
+
+def _packed(value) -> bytes:
+    return zlib.compress(json.dumps(value).encode())
+
+
+def _by_chunk(rows: DataFrame, kind: str, width: int, chunk: int, first, merge) -> DataFrame:
+    """(host, ``kind``), one row per host: ``first`` makes one of the rows (host, chunk, ...)
+    of each of a host's ``width`` chunks, then ``chunk`` of them at a time become one by ``merge``."""
+    def one(rows: DataFrame, make) -> DataFrame:
+        def run(group: pa.Table) -> pa.Table:
+            return pa.table({"host": group["host"].slice(0, 1), "chunk": group["chunk"].slice(0, 1), kind: pa.array([make(group)], pa.binary())})
+        return rows.groupBy("host", "chunk").applyInArrow(run, f"host string, chunk int, {kind} binary")
+
+    parts = one(rows, first)
+    while width > 1:
+        parts = one(parts.withColumn("chunk", F.floor(F.col("chunk") / chunk).cast("int")), merge)
+        width = -(-width // chunk)
+    return parts.select("host", kind)
+
+
+def wrappers(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """(host, wrapper, start, templates), one row per host: of its commonest template
     the wrapper, as JSON, and the start token of its article; and all ``templates``,
-    compressed. They are inferred from at most ``sample`` of its pages. Only skeletons
-    are shuffled: map-side, one for each host and draw."""
+    compressed. All pages take part: copies of a skeleton are counted, each task aligns
+    about ``chunk`` skeletons of a host, or wrappers of that many parts, and what is fixed or
+    standing is counted by a match of every skeleton."""
     def skeletons(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:3], pa.array([zlib.compress("\n".join(skeleton(h or "")).encode()) for h in b.column(3).to_pylist()], pa.binary())],
-                names=["host", "draw", "order", "skeleton"])
+                [b.column(0), pa.array([zlib.compress("\n".join(skeleton(h or "")).encode()) for h in b.column(1).to_pylist()], pa.binary())],
+                names=["host", "skeleton"])
+
+    drawn = stored(pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(skeletons, "host string, skeleton binary")
+                   .groupBy("host", "skeleton").agg(F.count(F.lit(1)).alias("n")), "skeletons")
+    chunks = drawn.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("chunks")).where("chunks > 1")
+    width = chunks.agg(F.max("chunks")).first()[0] or 1
+    # unlike skeletons spread evenly, whatever the ids and however many copies there are
+    drawn = (drawn.join(bounded_broadcast(chunks), "host", "left")
+             .select("host", F.pmod(F.xxhash64("skeleton"), F.coalesce("chunks", F.lit(1))).cast("int").alias("chunk"), "skeleton", "n"))
+
+    def learn(group: pa.Table) -> bytes:
+        return _packed(templates([_unpacked(p) for p in group["skeleton"].to_pylist()], group["n"].to_pylist()))
 
-    by_id = F.xxhash64(F.col("page_id").cast("string"))
-    drawn = (pages.select(host(F.col("url")).alias("host"), F.pmod(by_id, F.lit(sample)).cast("int").alias("draw"), by_id.alias("order"), "html")
-             .mapInArrow(skeletons, "host string, draw int, order long, skeleton binary")
-             .groupBy("host", "draw").agg(F.min(F.struct("order", "skeleton")).alias("page")))
+    def together(group: pa.Table) -> bytes:
+        parts = group["known"].to_pylist()
+        return parts[0] if len(parts) == 1 else _packed(gathered([t for p in parts for t in json.loads(zlib.decompress(p))]))
 
-    def learn(group: pa.Table) -> pa.Table:
-        pages_ = [zlib.decompress(p["skeleton"]).decode().split("\n") for p in group["page"].to_pylist()]
-        known = templates([[x for x in p if x] for p in pages_])
-        return pa.table({"host": group["host"].slice(0, 1), "wrapper": pa.array([json.dumps(known[0][1])]), "start": pa.array([known[0][2]]),
-                         "templates": pa.array([zlib.compress(json.dumps(known).encode())], pa.binary())})
+    known = stored(_by_chunk(drawn, "known", width, chunk, learn, together), "known")
+
+    def look(batches):
+        for b in batches:
+            own: dict = {}
+            for h, c, p, n, k in zip(*(x.to_pylist() for x in b.columns), strict=True):
+                own.setdefault((h, c, k), []).append((_unpacked(p), n))
+            got = [_packed(survey(json.loads(zlib.decompress(k)), *map(list, zip(*seen, strict=True)))) for (_, _, k), seen in own.items()]
+            yield pa.RecordBatch.from_arrays([pa.array([h for h, _, _ in own], pa.string()), pa.array([c for _, c, _ in own], pa.int32()),
+                                              pa.array(got, pa.binary())], names=["host", "chunk", "seen"])
+
+    def total(group: pa.Table) -> bytes:
+        return _packed(added([json.loads(zlib.decompress(s)) for s in group["seen"].to_pylist()]))
+
+    seen = (_joined(drawn, known, "known").select("host", "chunk", "skeleton", "n", "known")
+            .mapInArrow(look, "host string, chunk int, seen binary"))
+
+    def finish(batches):
+        for b in batches:
+            rows = []
+            for k, s in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                rows.append([[t[0], annotate(t[1], part), article(t[1])]
+                             for t, part in zip(json.loads(zlib.decompress(k)), json.loads(zlib.decompress(s)), strict=True)])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([json.dumps(r[0][1]) for r in rows], pa.string()),
+                                              pa.array([r[0][2] for r in rows], pa.string()), pa.array([_packed(r) for r in rows], pa.binary())],
+                                             names=["host", "wrapper", "start", "templates"])
 
-    return drawn.groupBy("host").applyInArrow(learn, "host string, wrapper string, start string, templates binary")
+    return (known.join(_by_chunk(seen, "seen", width, chunk, total, total), "host").select("host", "known", "seen")
+            .mapInArrow(finish, "host string, wrapper string, start string, templates binary"))
 
 
-def _joined(pages: DataFrame, known: DataFrame) -> DataFrame:
+def _joined(pages: DataFrame, known: DataFrame, name: str = "templates") -> DataFrame:
     """Pages with the templates of their host: these are broadcast while their counted
     bytes are below ``BROADCAST_BYTES``, else joined by host."""
-    size = known.agg(F.sum(F.length("templates") + F.length("host"))).first()[0] or 0
+    size = known.agg(F.sum(F.length(name) + F.length("host"))).first()[0] or 0
     return pages.join(bounded_broadcast(known) if size <= BROADCAST_BYTES else known, "host", "left")
 
 
-def extract(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def extract(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """(page_id, url, text, n_chars), one row per row of ``pages`` (page_id, url, html).
 
     A null html is empty and gives an empty text; pages with a null or odd url
     share the host ''. Repeated rows give a row each."""
     own = pages.select("page_id", "url", "html")
-    known = stored(wrappers(own, sample).select("host", "templates"), "wrappers")
+    known = stored(wrappers(own, chunk).select("host", "templates"), "wrappers")
     joined = _joined(own.withColumn("host", host(F.col("url"))), known).select("page_id", "url", "html", "templates")
     kind = pages.schema["page_id"].dataType.simpleString()
 

@@ -4,7 +4,9 @@ import base64
 import gzip
 import hashlib
 import io
+import json
 import random
+import zlib
 
 import pytest
 
@@ -267,3 +269,57 @@ def test_match_against_pages_made_from_a_wrapper(seed):
         extra = [t for t, _ in made[:at]] + ["<odd.", "#3.3", ">odd"] + [t for t, _ in made[at:]]
         got = wrappers.match(wrapper, extra)
         assert got[at] is None and got[at + 2] is None
+
+
+@pytest.mark.parametrize("chunk", [3, 256])
+def test_every_page_takes_part_in_its_template(spark, chunk):
+    """One page of 60 says something else where the others say the same: the text is not the
+    template's, whichever page that is; so with parts of a host aligned part by part."""
+    body = "<html><body><article><h1>Head {0}</h1><p>Words of page {0} that no other has.</p><div>{1}</div></article><p class=end>{0}</p></body></html>"
+    rows = [(k + 100 * odd, f"http://h{odd}.example/{k}", body.format(k, "Other words" if k == odd else SAID)) for odd in (7, 30, 58, 99) for k in range(60)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = {r.page_id: r.text for r in wrappers.extract(df, chunk).collect()}
+    assert got == {k + 100 * odd: f"Head {k}\nWords of page {k} that no other has." + ("" if odd == 99 else "\nOther words" if k == odd else f"\n{SAID}")
+                   for odd in (7, 30, 58, 99) for k in range(60)}
+
+
+def test_a_block_on_few_pages_is_no_standing_one(spark):
+    """A faint mark counts by all pages of the template: here by 40 of 90, and by 50 of 90."""
+    own = "<article><h1>T{0}</h1><p>Main words {0} of this page</p>{1}</article>"
+    rows = [(k + 100 * n, f"http://h{n}.example/{k}", own.format(k, f"<div class='ad-slot'><p>Buy {k}</p></div>" if k < n else "")) for n in (40, 50) for k in range(90)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.extract(df, 4).collect()}
+    assert got == {k + 100 * n: f"T{k}\nMain words {k} of this page" + (f"\nBuy {k}" if n == 40 and k < n else "") for n in (40, 50) for k in range(90)}
+
+
+def test_wrappers_stay_bounded():
+    """A block of its own on every page: the wrapper keeps a bounded number of leaves, what all
+    pages share, and the weight of the container whose blocks went."""
+    html = "<body><div class=top><p>Top</p></div><div class=story><h1>S{0}</h1><section class={1}><p>{2} {0}</p></section></div><div class=low><p>a{0} few words</p></div></body>"
+    names = ["".join("abcdefgh"[int(d)] for d in f"{k:04o}") for k in range(900)]
+    pages = [wrappers.skeleton(html.format(k, n, LONG)) for k, n in enumerate(names)]
+    parts = [t for lo in range(0, 900, 150) for t in wrappers.templates(pages[lo : lo + 150], [1] * 150)]
+    tags, wrapper, n, *_ = wrappers.gathered(parts)[0]
+    assert n == 900 and sum(1 for _ in wrappers._leaves(wrapper)) <= wrappers.ROOM * max(map(len, pages))
+    assert wrappers.article(wrapper) == "<div.story"
+    [[total, on, *_]] = wrappers.survey([[tags, wrapper]], pages, [1] * 900)
+    assert total == 900 and {w[1] for at, w in enumerate(wrappers._leaves(wrapper)) if w[0] == "t" and on.get(at) == 900} >= {"<div.story", "<div.top", "<h1."}
+
+
+def test_many_templates_of_a_host(spark):
+    """More templates than are kept: pages of the others are extracted by themselves."""
+    rows = [(k, "http://one.example/p", f"<body>{''.join(f'<x{k}y{j}z><p>m</p></x{k}y{j}z>' for j in 'abcdef')}<main><p>Main of page {k}</p></main></body>".replace("<x", f"<{chr(97 + k % 26)}{chr(97 + k // 26)}")
+             .replace("</x", f"</{chr(97 + k % 26)}{chr(97 + k // 26)}")) for k in range(90)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in wrappers.extract(df, 8).collect()} == {k: f"Main of page {k}" for k in range(90)}
+    assert len(json.loads(zlib.decompress(wrappers.wrappers(df, 8).first().templates))) == wrappers.KINDS
+
+
+def test_join_of_optional_parts():
+    """Two wrappers with the same optional blocks join without doubling them, and match the pages of both."""
+    make = lambda k, *on: wrappers.skeleton("<div>" + "".join(f"<{x}><p>{k}</p></{x}>" for x in ("h2", "ul", "ol", "pre") if x in on) + f"<p>{k}</p></div>")
+    pages = [make(1), make(2, "h2"), make(3, "h2", "ol"), make(4, "ul"), make(5, "ul", "pre"), make(6, "pre")]
+    one, two = wrappers.templates(pages[::2], [1] * 3), wrappers.templates(pages[1::2], [1] * 3)
+    [[_, wrapper, n, *_]] = wrappers.gathered(one + two)
+    assert n == 6 and all(None not in wrappers.match(wrapper, p) for p in pages)
+    assert sum(1 for x in wrappers._leaves(wrapper) if x[0] == "t" and x[1][0] == "<") <= 12
