@@ -93,3 +93,31 @@ def test_serving_prep_joins_the_tables_once(spark, monkeypatch):
     monkeypatch.setattr(J, "_prepared", lambda *a, **k: order.append("prepared") or own[1](*a, **k))
     entry.queries()["e8_serving_prep"](spark, SF_SMALL)
     assert order == ["rows", "prepared"]
+
+
+def test_sorts_of_whole_rows_get_small_partitions(spark):
+    """The positions' table and the cleaned rows are written with small partitions; the
+    session's own setting is as before, and one that it has made stays."""
+    from pyspark.sql import functions as F
+    from claimlens import session
+    from claimlens.operators.positions import with_row_index
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    with session.small_sorts(spark):
+        assert spark.conf.get(key) == session.SORTED_BYTES
+    assert spark.conf.get(key) == before and key not in spark.conf.getAll
+    # 5 million bytes that don't compress, sorted with 1 MB a task instead of all in one
+    df = spark.range(200_000, numPartitions=4).select("id", F.sha2(F.col("id").cast("string"), 256).alias("s"))
+    was, lone = session.SORTED_BYTES, "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    try:
+        spark.conf.set(lone, "false")
+        session.SORTED_BYTES = "1m"
+        got = with_row_index(df, ["s"])
+        assert got.count() == 200_000 and len(got.inputFiles()) > 4
+        spark.conf.set(key, "64m")
+        with session.small_sorts(spark):
+            assert spark.conf.get(key) == "64m"
+    finally:
+        session.SORTED_BYTES = was
+        spark.conf.unset(key)
+        spark.conf.unset(lone)
