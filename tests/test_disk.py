@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from claimlens.operators import models as M
 from claimlens.operators import prepare as E
 from claimlens.operators.positions import with_row_index
-from claimlens.session import freed_shuffles, stored
+from claimlens.session import freed_shuffles, stored, together
 from claimlens.sources import batches as SB
 
 
@@ -75,3 +75,20 @@ def test_a_fit_keeps_no_copy_of_its_rows(spark, monkeypatch):
     m = M.fit_linear(df, ["x", "y"])
     assert abs(m.weights["x"] - 2) < 1e-2 and abs(m.bias - 1) < 1e-1
     assert M.fit_tree(df, ["x", "y"]).depth >= 1
+
+
+def test_jobs_side_by_side_share_what_they_set(spark):
+    """Results come in order, an error of one is raised, and the last that holds a setting takes it back."""
+    import threading
+    key, both = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", threading.Barrier(2, timeout=60)
+
+    def job(k):
+        with freed_shuffles(spark):
+            both.wait()
+            if k:
+                time.sleep(0.5)          # the other has left
+            return k, spark.conf.get(key), spark.range(k + 3).count()
+    assert together(spark, [lambda: job(0), lambda: job(1)]) == [(0, "true", 3), (1, "true", 4)]
+    assert key not in spark.conf.getAll
+    with pytest.raises(ValueError, match="broken"):
+        together(spark, [lambda: 1, lambda: (_ for _ in ()).throw(ValueError("broken"))])
