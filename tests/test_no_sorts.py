@@ -47,10 +47,10 @@ def test_correlations_of_many_columns_are_compiled(spark):
     """Every pair once, in order, and no aggregate with more fields than Spark compiles."""
     from claimlens.operators import profile as P
     cols = [f"c{i}" for i in range(8)]
-    df = spark.range(60).select((F.col("id") % 2).cast("int").alias("batch_id"), *[((F.col("id") * (i + 2)) % 7).cast("double").alias(c) for i, c in enumerate(cols)])
+    df = spark.range(60).select((F.col("id") % 2).cast("int").alias("batch_id"), *[((F.col("id") * (i + 2)) % 11).cast("double").alias(c) for i, c in enumerate(cols)])
     rows = P.correlation_pairs(df, cols).where("batch_id = 0").orderBy("pair_ord").collect()
     assert [(r["pair_ord"], r["col1"], r["col2"]) for r in rows] == [(k, a, b) for k, (a, b) in enumerate((cols[i], cols[j]) for i in range(8) for j in range(i + 1, 8))]
-    x = {c: [float((k * (i + 2)) % 7) for k in range(0, 60, 2)] for i, c in enumerate(cols)}
+    x = {c: [float((k * (i + 2)) % 11) for k in range(0, 60, 2)] for i, c in enumerate(cols)}
     for r in rows:
         a, b = x[r["col1"]], x[r["col2"]]
         ma, mb = sum(a) / 30, sum(b) / 30
